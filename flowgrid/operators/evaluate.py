@@ -11,6 +11,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from flowgrid.functions.scalars import pct_error, ratio
 from flowgrid.functions.timefns import day_of_hour
@@ -152,7 +153,7 @@ def diebold_mariano(losses: DataFrame, keys: list[str], a: str = "loss_a", b: st
     return sums.select(*keys, "n", "mean_diff", stat.alias("dm_stat"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def two_sided_p(z: pd.Series) -> pd.Series:
     """2 (1 - Phi(|z|)) for the few rows of a test table; Spark SQL has no erf."""
     return z.map(lambda v: None if pd.isna(v) else math.erfc(abs(v) / math.sqrt(2)))
