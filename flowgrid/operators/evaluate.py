@@ -72,7 +72,7 @@ def rolling_origin(df: DataFrame, n_folds: int, fold_days: int, pos: str = "h",
     end = df.agg(((F.max(day_of_hour(pos)) + 1) * 24).alias("_end"))
     size = fold_days * 24
     back = F.floor((F.col("_end") - 1 - F.col(pos)) / size)
-    own = F.lit(n_folds - 1) - back
+    own = (F.lit(n_folds - 1) - back).cast("int")
     folds = F.sequence(F.greatest(own, F.lit(0)), F.lit(n_folds - 1))
     out = attach(df, end, []).withColumn("fold", F.explode(folds)).withColumn("_own", own)
     start = F.col("_end") - (n_folds - F.col("fold")) * size
