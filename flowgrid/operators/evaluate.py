@@ -124,7 +124,8 @@ def backlog_range(history: DataFrame, log: DataFrame, scored: DataFrame | None,
         start = scored.agg((F.max("forecast_day") + 1).alias("_from"))
     else:
         start = log.agg(F.min(day_of_hour(pos)).alias("_from"))
-    both = attach(last, start, [])
+    both = last.unionByName(start, allowMissingColumns=True).agg(
+        F.max("last_day").alias("last_day"), F.max("_from").alias("_from"))
     return both.select(F.least("last_day", F.coalesce("_from", "last_day")).alias("first_day"), "last_day")
 
 

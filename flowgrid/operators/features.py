@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowgrid import config as C
 from flowgrid.functions.scalars import above, below, flag, fourier
 from flowgrid.functions.timefns import day_date, day_of_hour, day_pos, hour_of_day, weekday_of
-from flowgrid.operators.series import attach, banded
+from flowgrid.operators.series import banded
 from flowgrid.operators.vintages import daily_mean, day_ahead_vintage, shift_days
 
 # Names and order of the model columns.
@@ -181,7 +181,9 @@ def refresh_range(history: DataFrame, log: DataFrame | None, pos: str = "h", bac
     else:
         first = F.col("today") - 2
         if log is not None:
-            ends = attach(ends, log.agg((F.max(day_of_hour(pos)) + 1).alias("_owed")), [])
+            owed = log.agg((F.max(day_of_hour(pos)) + 1).alias("_owed"))
+            ends = ends.unionByName(owed, allowMissingColumns=True).agg(
+                *[F.max(c).alias(c) for c in ("oldest", "today", "_owed")])
             first = F.least(first, F.coalesce(F.col("_owed"), first))
         ends = ends.withColumn("first_day", first)
     return ends.select(
