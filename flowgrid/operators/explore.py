@@ -179,38 +179,35 @@ def describe(df: DataFrame, keys: list[str], value: str) -> DataFrame:
         (ratio(F.stddev_samp(value), F.avg(value)) * 100).alias("cv_pct"))
 
 
-def last_same_class(days: DataFrame, keys: list[str], klass: str, values: list[str], gap: int = 2, take: int = 8,
-                    least: int = 3) -> DataFrame:
-    """For every day the mean of the last ``take`` days of its class that end ``gap`` days before it.
+def class_history(days: DataFrame, keys: list[str], klass: str, gap: int = 2, take: int = 8,
+                  least: int = 3) -> DataFrame:
+    """keys, day, src_day: the last ``take`` days of the day's class that end ``gap`` days before it.
 
-    With fewer than ``least`` such days the last ``take`` days of any class are used. A day is copied only to the
-    chunk it lies in and the summaries around it: rank numbers inside (series, class) turn "the last n before d" into
-    a frame on the rank, so no target is joined to all of its past.
+    With fewer than ``least`` such days the last ``take`` days of any class stand in. Days are ranked inside their
+    class, an as-of pass finds the newest usable rank, and the ranks just below it are joined by equality - no day is
+    joined to all of its past.
     """
-    def means(part: list[str], prefix: str) -> DataFrame:
-        order = Window.partitionBy(*part).orderBy("day")
-        ranked = days.select(*keys, klass, "day", *values, F.row_number().over(order).alias("_rk"))
-        run = order.rowsBetween(-(take - 1), 0)
-        sums = ranked.select(
-            *part, "day", F.count("*").over(run).alias(f"{prefix}n"),
-            *[F.avg(v).over(run).alias(f"{prefix}{v}") for v in values])
-        return sums
-
-    def as_of(targets: DataFrame, part: list[str], prefix: str) -> DataFrame:
-        facts = means(part, prefix).select(*part, (F.col("day") + gap).alias("_at"), F.struct(
-            f"{prefix}n", *[f"{prefix}{v}" for v in values]).alias("_f"))
-        both = facts.select(*part, F.col("_at").alias("day"), "_f", F.lit(0).alias("_o")).unionByName(
-            targets.select(*part, "day", F.lit(None).cast(facts.schema["_f"].dataType).alias("_f"),
-                           F.lit(1).alias("_o")))
-        w = Window.partitionBy(*part).orderBy("day", "_o").rowsBetween(Window.unboundedPreceding, 0)
-        out = both.withColumn("_s", F.last("_f", ignorenulls=True).over(w)).where(F.col("_o") == 1)
-        return out.select(*part, "day", F.col("_s")[f"{prefix}n"].alias(f"{prefix}n"),
-                          *[F.col("_s")[f"{prefix}{v}"].alias(f"{prefix}{v}") for v in values])
-
-    tgt = days.select(*keys, klass, "day")
-    same = as_of(tgt, [*keys, klass], "same_")
-    any_ = as_of(tgt, list(keys), "any_")
-    out = tgt.join(same, [*keys, klass, "day"]).join(any_, [*keys, "day"])
-    use_same = F.col("same_n") >= least
-    return out.select(*keys, "day", klass, F.when(use_same, "class").otherwise("any").alias("source"), *[
-        F.when(use_same, F.col(f"same_{v}")).otherwise(F.col(f"any_{v}")).alias(v) for v in values])
+    def newest_rank(part: list[str], ranked: DataFrame, name: str) -> DataFrame:
+        facts = ranked.select(*part, (F.col("day") + gap).alias("day"), "_rk", F.lit(0).alias("_o"))
+        asks = ranked.select(*part, "day", F.lit(None).cast("int").alias("_rk"), F.lit(1).alias("_o"))
+        upto = Window.partitionBy(*part).orderBy("day", "_o").rowsBetween(Window.unboundedPreceding, 0)
+        both = facts.unionByName(asks).withColumn(name, F.max("_rk").over(upto))
+        return both.where(F.col("_o") == 1).select(*part, "day", name)
+
+    def ranks(part: list[str]) -> DataFrame:
+        return days.select(*keys, klass, "day", F.row_number().over(
+            Window.partitionBy(*part).orderBy("day")).alias("_rk"))
+
+    same_part, any_part = [*keys, klass], list(keys)
+    same, every = ranks(same_part), ranks(any_part)
+    tgt = newest_rank(same_part, same, "_same").join(newest_rank(any_part, every, "_any"), [*keys, "day"])
+    use_same = F.coalesce(F.col("_same") >= least, F.lit(False))
+
+    def sources(rows: DataFrame, top: str, part: list[str], ranked: DataFrame) -> DataFrame:
+        wanted = F.explode(F.sequence(F.greatest(F.col(top) - (take - 1), F.lit(1)), F.col(top))).alias("_rk")
+        src = ranked.select(*part, "_rk", F.col("day").alias("src_day"))
+        return rows.where(F.col(top).isNotNull()).select(*keys, klass, "day", wanted).join(src, [*part, "_rk"]).select(
+            *keys, "day", "src_day")
+
+    return sources(tgt.where(use_same), "_same", same_part, same).unionByName(
+        sources(tgt.where(~use_same), "_any", any_part, every))

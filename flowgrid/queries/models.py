@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowgrid.config import Decisions, Project, Quality, Training
@@ -186,33 +187,31 @@ def permute_group(spark, sf):
 
 
 @query("topdown_disaggregate", f"""
-WITH p AS (SELECT t.h // 24 AS day, t.h % 24 AS hour, t.demand / m.y AS r FROM v_total t JOIN v_tot m ON m.day = t.h // 24
+WITH p AS MATERIALIZED (SELECT t.h // 24 AS day, t.h % 24 AS hour, t.demand / m.y AS r FROM v_total t JOIN v_tot m ON m.day = t.h // 24
   QUALIFY count(*) OVER (PARTITION BY t.h // 24) = 24),
-d AS (SELECT DISTINCT p.day, c.is_ramadan AS a, (c.is_weekend OR c.is_public_holiday) AS b FROM p JOIN v_cal c ON c.day = p.day),
-s AS (SELECT t.day, x.day AS src FROM d t JOIN d x ON x.day <= t.day - 2 AND x.a = t.a AND x.b = t.b
+d AS MATERIALIZED (SELECT DISTINCT p.day, c.is_ramadan AS a, (c.is_weekend OR c.is_public_holiday) AS b FROM p JOIN v_cal c ON c.day = p.day),
+s AS MATERIALIZED (SELECT t.day, x.day AS src FROM d t JOIN d x ON x.day <= t.day - 2 AND x.a = t.a AND x.b = t.b
   QUALIFY row_number() OVER (PARTITION BY t.day ORDER BY x.day DESC) <= 8),
-n AS (SELECT t.day, x.day AS src FROM d t JOIN d x ON x.day <= t.day - 2
+n AS MATERIALIZED (SELECT t.day, x.day AS src FROM d t JOIN d x ON x.day <= t.day - 2
   QUALIFY row_number() OVER (PARTITION BY t.day ORDER BY x.day DESC) <= 8),
-k AS (SELECT day, src FROM s WHERE day IN (SELECT day FROM s GROUP BY day HAVING count(*) >= 3)
+k AS MATERIALIZED (SELECT day, src FROM s WHERE day IN (SELECT day FROM s GROUP BY day HAVING count(*) >= 3)
   UNION ALL SELECT day, src FROM n WHERE day NOT IN (SELECT day FROM s GROUP BY day HAVING count(*) >= 3)),
-f AS (SELECT k.day, p.hour, avg(p.r) AS r FROM k JOIN p ON p.day = k.src GROUP BY ALL)
+f AS MATERIALIZED (SELECT k.day, p.hour, avg(p.r) AS r FROM k JOIN p ON p.day = k.src GROUP BY ALL)
 SELECT {DT('f.day')} AS date, CAST(f.hour AS INTEGER) AS hour, {R('l.y * f.r / avg(f.r) OVER (PARTITION BY f.day)', 4)} AS pred
 FROM f JOIN v_tot l ON l.day = f.day - 7""")
 def topdown_disaggregate(spark, sf):
     d = I.demand_total(spark, sf).withColumn("day", day_of_hour("h")).withColumn("hour", hour_of_day("h"))
-    level = d.groupBy("day").agg(F.avg("demand").alias("mean"), F.count("*").alias("n"), *[
-        F.max(F.when(F.col("hour") == k, F.col("demand"))).alias(f"d{k}") for k in range(24)])
-    cal = I.calendar(spark, sf).select("day", F.concat_ws("-", F.col("is_ramadan").cast("string"), (
-        F.col("is_weekend") | F.col("is_public_holiday")).cast("string")).alias("klass"))
-    shapes = level.where(F.col("n") == 24).join(F.broadcast(cal), "day").select(
-        "day", "klass", *[(F.col(f"d{k}") / F.col("mean")).alias(f"r{k}") for k in range(24)])
-    prof = X.last_same_class(shapes, [], "klass", [f"r{k}" for k in range(24)])
+    level = d.groupBy("day").agg(F.avg("demand").alias("mean"), F.count("*").alias("n"))
+    off = (F.col("is_weekend") | F.col("is_public_holiday")).cast("string")
+    cal = I.calendar(spark, sf).select("day", F.concat_ws("-", F.col("is_ramadan").cast("string"), off).alias("klass"))
+    full = level.where(F.col("n") == 24).join(F.broadcast(cal), "day")
+    past = X.class_history(full, [], "klass")
+    shape = d.join(full.select("day", "mean"), "day").select(
+        F.col("day").alias("src_day"), "hour", (F.col("demand") / F.col("mean")).alias("r"))
+    prof = past.join(shape, "src_day").groupBy("day", "hour").agg(F.avg("r").alias("r"))
+    prof = prof.withColumn("_m", F.avg("r").over(Window.partitionBy("day")))
     ahead = vintages.shift_days(level.select("day", "mean"), 7, {"mean": "level"})
-    mean = sum((F.col(f"r{k}") for k in range(1, 24)), F.col("r0")) / 24
-    cells = ", ".join(f"{k}, r{k}" for k in range(24))
-    j = prof.join(ahead, "day").withColumn("_m", mean).where(F.col("_m").isNotNull())
-    long = j.selectExpr("day", "level", "_m", f"stack(24, {cells}) as (hour, r)")
-    return out(long.select("day", "hour", (F.col("level") * F.col("r") / F.col("_m")).alias("pred")), 4)
+    return out(prof.join(ahead, "day").select("day", "hour", (F.col("level") * F.col("r") / F.col("_m")).alias("pred")), 4)
 
 
 @query("daily_exog", f"""

@@ -443,7 +443,9 @@ FROM d LEFT JOIN c ON c.day = d.day LEFT JOIN n ON n.day = d.day""")
 def win_last_n_same_class(spark, sf):
     cal = I.long_calendar(spark, sf).select("day", (F.col("is_weekend") | F.col("is_public_holiday")).alias("off"))
     d = I.daily_long(spark, sf).join(cal, "day")
-    return out(X.last_same_class(d, [], "off", ["y"]).select("day", F.col("y").alias("level")), 2)
+    past = X.class_history(d, [], "off").join(d.select(F.col("day").alias("src_day"), "y"), "src_day")
+    level = past.groupBy("day").agg(F.avg("y").alias("level"))
+    return out(d.select("day").join(level, "day", "left"), 2)
 
 
 @query("win_week_of_period", f"""

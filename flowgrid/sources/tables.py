@@ -17,10 +17,20 @@ from flowgrid.schemas import FEEDS, struct
 ONE_DAY = timedelta(days=1)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) on whatever storage the path names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Is there data under the path? Works on any file system Spark can reach."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop))
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isFile())
 
 
 def scan(spark: SparkSession, path: str, where: str | Column | None = None) -> DataFrame:
@@ -126,8 +136,8 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: list[str], p
     overwrite(merged(touched, source, keys), stage)
     (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).parquet(path))
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    fs, staged = _file_system(spark, stage)
+    fs.delete(staged, True)
     return True
 
 

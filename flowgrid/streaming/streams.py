@@ -17,8 +17,15 @@ from flowgrid.sources import tables as T
 
 
 def source(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
-    """File stream with a declared schema; the cap bounds one micro-batch, not the data."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    """File stream of a folder, or of one file of a folder, with a declared schema.
+
+    The cap bounds one micro-batch, not the data.
+    """
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    if T.is_file(spark, path):
+        folder, name = path.rsplit("/", 1)
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)
 
 
 def run(df: DataFrame, checkpoint: str, path: str | None = None, each: Callable | None = None,
