@@ -52,11 +52,10 @@ def level_features(tgt: DataFrame, demand: DataFrame, keys: list[str], min_lag_h
                "_s": (*reach, lambda w: F.stddev_samp("demand").over(w))}
     out = banded(both, keys, "h", frames, where=F.col("_target"))
     enough = F.col("_n") >= C.ROLL_LEAST_H
-    out = (out.withColumn("roll_mean_7d", F.when(enough, F.col("_m")))
-           .withColumn("roll_std_7d", F.when(enough, F.col("_s"))))
+    made = {"roll_mean_7d": F.when(enough, F.col("_m")), "roll_std_7d": F.when(enough, F.col("_s"))}
     if {168, 336, 504} <= set(lags):
-        out = out.withColumn("same_hour_mean_3w", (F.col("lag_168h") + F.col("lag_336h") + F.col("lag_504h")) / 3)
-    return out.drop("_target", "_n", "_m", "_s", "demand")
+        made["same_hour_mean_3w"] = (F.col("lag_168h") + F.col("lag_336h") + F.col("lag_504h")) / 3
+    return out.withColumns(made).drop("_target", "_n", "_m", "_s", "demand")
 
 
 def weather_features(df: DataFrame, fcst: DataFrame, keys: list[str], weather_keys: list[str],
@@ -77,10 +76,10 @@ def weather_features(df: DataFrame, fcst: DataFrame, keys: list[str], weather_ke
     t = F.col("fc_temperature_c")
     return (out.join(per_day, [*keys, "day"], "left")
             .join(day_mean, [*weather_keys, "day"], "left").join(eve_mean, [*weather_keys, "day"], "left")
-            .withColumn("fc_cooling_degree", above(t, C.COOLING_BASE_C))
-            .withColumn("fc_heating_degree", below(t, C.HEATING_BASE_C))
-            .withColumn("fc_cdd24_hour", above(t, C.COOLING_KNOT_C))
-            .withColumn("fc_cdd24_day", above("fc_tmean_day", C.COOLING_KNOT_C)))
+            .withColumns({"fc_cooling_degree": above(t, C.COOLING_BASE_C),
+                          "fc_heating_degree": below(t, C.HEATING_BASE_C),
+                          "fc_cdd24_hour": above(t, C.COOLING_KNOT_C),
+                          "fc_cdd24_day": above("fc_tmean_day", C.COOLING_KNOT_C)}))
 
 
 def observed_features(df: DataFrame, obs: DataFrame, weather_keys: list[str]) -> DataFrame:
@@ -89,6 +88,10 @@ def observed_features(df: DataFrame, obs: DataFrame, weather_keys: list[str]) ->
     return df.join(shift_days(mean, 2, {"_tmean": "obs_tmean_d2"}), [*weather_keys, "day"], "left")
 
 
+CALENDAR_FLAGS = ["is_holiday", "is_ramadan", "ramadan_day", "is_school_break", "is_eid",
+                  *[f"event_{e}" for e in C.EVENT_TYPES], "day_before_holiday", "day_after_holiday"]
+
+
 def calendar_table(calendar: DataFrame) -> DataFrame:
     """One row per day with the flags of the day and of its neighbours.
 
@@ -101,11 +104,11 @@ def calendar_table(calendar: DataFrame) -> DataFrame:
         flag(F.col("is_school_break")).alias("is_school_break"),
         flag(F.col("holiday_name").contains("Eid")).alias("is_eid"),
         *[flag(F.col("event_type") == e).alias(f"event_{e}") for e in C.EVENT_TYPES])
-    names = facts.columns[1:]
+    names = CALENDAR_FLAGS[:-2]
     one = facts.groupBy("day").agg(F.min(F.struct(*names)).alias("_f")).select(
         "day", *[F.col("_f")[n].alias(n) for n in names])
     zeros = [F.lit(0.0).alias(n) for n in names]
-    marks = ["day_before_holiday", "day_after_holiday"]
+    marks = CALENDAR_FLAGS[-2:]
     hol = one.where(F.col("is_holiday") == 1)
     parts = one.select("day", *names, *[F.lit(0.0).alias(m) for m in marks])
     for mark, step in zip(marks, (-1, 1)):
@@ -118,13 +121,13 @@ def calendar_features(df: DataFrame, calendar: DataFrame) -> DataFrame:
     """Clock parts of the target hour and the calendar flags of its day (absent days get zeros)."""
     cal = calendar_table(calendar)
     out = df.join(F.broadcast(cal), "day", "left")
-    for c in cal.columns[1:]:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0.0)))
     dow = weekday_of("day")
     weekend = (dow >= 5).cast("double")
-    return (out.withColumn("hour", hour_of_day("h").cast("double")).withColumn("day_of_week", dow.cast("double"))
-            .withColumn("month", F.month(day_date("day")).cast("double")).withColumn("is_weekend", weekend)
-            .withColumn("is_day_off", F.greatest(weekend, F.col("is_holiday"))))
+    zero = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in CALENDAR_FLAGS}
+    return out.withColumns({
+        **zero, "hour": hour_of_day("h").cast("double"), "day_of_week": dow.cast("double"),
+        "month": F.month(day_date("day")).cast("double"), "is_weekend": weekend,
+        "is_day_off": F.greatest(weekend, zero["is_holiday"])})
 
 
 def fourier_features(df: DataFrame) -> DataFrame:

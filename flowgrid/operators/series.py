@@ -83,8 +83,7 @@ def carry(df: DataFrame, keys: list[str], pos: str, known: Column, payload: dict
     for on, local, far, prefix in ((forward, "_prev", "_before", "prev_"), (backward, "_next", "_after", "next_")):
         if on:
             near = F.coalesce(F.col(local), F.col(far))
-            for n in payload:
-                out = out.withColumn(prefix + n, near[n])
+            out = out.withColumns({prefix + n: near[n] for n in payload})
     return out.drop("_chunk", "_item", "_prev", "_next", "_before", "_after")
 
 
@@ -190,8 +189,8 @@ def rolling(df: DataFrame, keys: list[str], pos: str, value: str, width: int, sh
         "_m": (lo, hi, lambda w: F.avg(value).over(w)),
         "_s": (lo, hi, lambda w: F.stddev_samp(value).over(w))}, chunk)
     enough = F.col("_n") >= least
-    return (full.withColumn(f"{prefix}_mean", F.when(enough, F.col("_m")))
-            .withColumn(f"{prefix}_std", F.when(enough, F.col("_s"))).drop("_n", "_m", "_s"))
+    made = {f"{prefix}_mean": F.when(enough, F.col("_m")), f"{prefix}_std": F.when(enough, F.col("_s"))}
+    return full.withColumns(made).drop("_n", "_m", "_s")
 
 
 def latest_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

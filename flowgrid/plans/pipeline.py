@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import replace
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -110,11 +111,11 @@ def _tag(df: DataFrame, name: str, p: Project) -> DataFrame:
                        q.stuck_hours if name == "consumption" else 0)
 
 
-def _record(spark: SparkSession, p: Project, run_id: str, results: DataFrame, bad: list[DataFrame]) -> None:
+def _record(spark: SparkSession, p: Project, run_id: str, results: DataFrame, bad: DataFrame | None) -> None:
     T.append(results.select("*", F.lit(run_id).alias("run_id"), F.lit(p.env).alias("env"),
                             F.current_timestamp().alias("checked_at")), p.path("monitoring.dq_results"))
-    for b in bad:
-        T.append(b.select("*", F.lit(run_id).alias("run_id"), F.current_timestamp().alias("detected_at")),
+    if bad is not None:
+        T.append(bad.select("*", F.lit(run_id).alias("run_id"), F.current_timestamp().alias("detected_at")),
                  p.path("monitoring.dq_quarantine"))
 
 
@@ -139,7 +140,7 @@ def quality_gate(spark: SparkSession, p: Project, run_id: str, today: date, allo
                                       f"no new batch; newest complete day in silver is {latest}")],
                                     "check_name string, table_name string, severity string, passed boolean, "
                                     "failed_rows bigint, detail string")
-        _record(spark, p, run_id, row, [])
+        _record(spark, p, run_id, row, None)
         return ok
     tagged = {n: _tag(df, n, p).persist(StorageLevel.MEMORY_AND_DISK) for n, df in new.items() if df is not None}
     series = list(p.series_keys)
@@ -165,7 +166,8 @@ def quality_gate(spark: SparkSession, p: Project, run_id: str, today: date, allo
               f"missing forecast hours for {target}: {lacking} of {lacking}")], results.schema))
     results = results.persist(StorageLevel.MEMORY_AND_DISK)
     ok = scalar(results.agg(quality.verdict(results)))
-    _record(spark, p, run_id, results, [quality.quarantine(t, n) for n, t in tagged.items()])
+    bad = reduce(DataFrame.unionByName, [quality.quarantine(t, n) for n, t in tagged.items()])
+    _record(spark, p, run_id, results, bad)
     if ok:
         for n, df in good.items():
             keys = [*(series if RULES[n][2] else []), *SILVER_KEYS[n]]

@@ -28,8 +28,11 @@ SMALL_GBT = {"maxIter": 5, "stepSize": 0.3, "maxDepth": 4, "subsamplingRate": 0.
 
 
 def frame(spark, sf):
-    """Labelled feature rows with full lag history."""
-    return FE.training_frame(built(spark, sf), I.demand(spark, sf), ["series"]).withColumnRenamed("demand", "y")
+    """Labelled feature rows with full lag history, stored once as the feature table of this run."""
+    path = f"{shared_folder(spark, 'features')}/train"
+    rows = FE.training_frame(built(spark, sf), I.demand(spark, sf), ["series"]).withColumnRenamed("demand", "y")
+    T.overwrite(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 @query("model_seasonal_naive", f"""WITH {TARGETS}, m AS (SELECT avg(demand) AS m FROM v_demand)
@@ -46,11 +49,9 @@ def model_seasonal_naive(spark, sf):
 
 
 def _fit_predict(spark, sf, family, **kw):
-    data = frame(spark, sf).cache()
+    data = frame(spark, sf)
     model = M.fit(family, data, ["series"], **kw)
-    pred = model.predict(frame(spark, sf)).select("series", "h", "y", "pred")
-    data.unpersist()
-    return out(pred)
+    return out(model.predict(data).select("series", "h", "y", "pred"))
 
 
 @query("model_ridge_fourier")
@@ -105,12 +106,11 @@ def model_blend(spark, sf):
 
 @query("model_factory")
 def model_factory(spark, sf):
-    data = frame(spark, sf).cache()
+    data = frame(spark, sf)
     parts = None
     for family in ("seasonal_naive_48", "seasonal_naive_168", "ridge_fourier"):
-        m = M.fit(family, data, ["series"]).predict(frame(spark, sf)).select(F.lit(family).alias("model"), "y", "pred")
+        m = M.fit(family, data, ["series"]).predict(data).select(F.lit(family).alias("model"), "y", "pred")
         parts = m if parts is None else parts.unionByName(m)
-    data.unpersist()
     return out(E.metrics(parts, ["model"]))
 
 
@@ -161,19 +161,16 @@ def score_forecast(spark, sf):
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    data = frame(spark, sf).cache()
-    m = M.fit("gbt", data, ["series"], gbt=SMALL_GBT)
-    data.unpersist()
+    m = M.fit("gbt", frame(spark, sf), ["series"], gbt=SMALL_GBT)
     return spark.createDataFrame(M.importance(m.parts["gbt"])[:20], "feature string, gain double")
 
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
-    data = frame(spark, sf).cache()
+    data = frame(spark, sf)
     m = M.fit("ridge_fourier", data, ["series"])
     groups = {g: M.IMPORTANCE_GROUPS[g] for g in ("lags", "rolling level", "weather forecast")}
     res = M.permutation_importance(m, data, ["series", "h"], groups, repeats=2)
-    data.unpersist()
     return spark.createDataFrame(res, "feature_group string, mape_rise double")
 
 
@@ -242,7 +239,7 @@ def daily_exog(spark, sf):
 def _project(spark, name: str) -> Project:
     """Limits that fit the test data: sparse hours, spikes above 200, wide temperatures."""
     return Project(root=shared_folder(spark, name), series_keys=("site_id",), history_start="2024-01-01",
-                   history_end="2024-01-28",
+                   history_end="2024-01-27",
                    quality=Quality(demand_max=200.0, temperature_min=0.0, temperature_max=1000.0, max_missing_pct=100.0))
 
 
@@ -250,7 +247,7 @@ def _project(spark, name: str) -> Project:
 def run_daily(spark, sf):
     p = _project(spark, "daily")
     feeds = {k: v.drop("row_id") for k, v in I.feeds(spark, sf).items()}
-    got = pipeline.run_daily(spark, p, feeds, datetime(2024, 1, 29, 9), "backfill")
+    got = pipeline.run_daily(spark, p, feeds, datetime(2024, 1, 28, 9), "backfill")
     if got["gate"]:
         from flowgrid.plans.registry import Registry
 
@@ -279,13 +276,10 @@ def run_daily(spark, sf):
 
 
 # ---- streaming -------------------------------------------------------------------------------------------------
-EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-
-
 def stream_source(spark, sf):
     from flowgrid.streaming import streams
 
-    return streams.source(spark, f"{sf}/events.parquet", EVENTS)
+    return streams.source(spark, f"{sf}/events.parquet", I.TABLES["events"])
 
 
 @query("stream_bronze", """

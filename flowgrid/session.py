@@ -14,7 +14,7 @@ def local_session(cores: str | int = "*", partitions: int = 8, memory: str = "8g
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.execution.arrow.pyspark.enabled", "true")
              .config("spark.driver.memory", memory)
-             .config("spark.ui.enabled", "false")
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

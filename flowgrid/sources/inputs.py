@@ -13,8 +13,17 @@ from flowgrid.functions.timefns import day_date, day_of_hour, day_pos, hour_of_d
 CENTS = "decimal(12,2)"
 
 
+# Declared schemas of the tables the operators read: no footer pass before the first job.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    reader = spark.read.schema(TABLES[name]) if name in TABLES else spark.read
+    return reader.parquet(f"{sf}/{name}.parquet")
 
 
 def exact_sum(c) -> F.col:

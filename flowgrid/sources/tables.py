@@ -83,13 +83,18 @@ def parquet_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{folder}/{n}") for n in FEEDS}
 
 
+def balanced(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Bring the rows of a folder together before a partitioned write, splitting folders that are too big for a task."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
+    balanced(df, partition_by).write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Replace data and schema of a table that ``df`` does not read."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+    balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         *(partition_by or [])).parquet(path)
 
 
@@ -134,7 +139,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: list[str], p
     touched = target.join(F.broadcast(source.select(partition_by).distinct()), partition_by, "left_semi")
     stage = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
     overwrite(merged(touched, source, keys), stage)
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (balanced(spark.read.parquet(stage), [partition_by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).parquet(path))
     fs, staged = _file_system(spark, stage)
     fs.delete(staged, True)
