@@ -74,11 +74,34 @@ def model_random_forest(spark, sf):
     return _fit_predict(spark, sf, "random_forest_trend", gbt={"numTrees": 20, "maxDepth": 5})
 
 
-@query("growth_trend")
+def _orthogonal_sql(target: str, others: list[str]) -> str:
+    """CTEs that take ``others`` out of ``target`` one after the other; q is what is left of the target."""
+    steps, names = [], [f"v{i}" for i in range(len(others))] + ["q"]
+    steps.append(f"g0 AS MATERIALIZED (SELECT series, ly, {', '.join(f'{c} AS v{i}' for i, c in enumerate(others))}, "
+                 f"{target} AS q FROM terms)")
+    for i in range(len(others)):
+        keep = ", ".join(names[:i + 1])
+        rest = ", ".join(f"{n} - v{i} * sum({n} * v{i}) OVER (PARTITION BY series) / "
+                         f"sum(v{i} * v{i}) OVER (PARTITION BY series) AS {n}" for n in names[i + 1:])
+        steps.append(f"g{i + 1} AS MATERIALIZED (SELECT series, ly, {keep}, {rest} FROM g{i})")
+    tag = "s" if target == "t" else "i"
+    return ", ".join(steps).replace("g", f"{tag}g") + f", {tag}_fit AS (SELECT series, sum(q * ly) / sum(q * q) AS b FROM {tag}g{len(others)} GROUP BY series)"
+
+
+WAVES = ["sin(2 * pi() * t / 365.25)", "cos(2 * pi() * t / 365.25)", "sin(4 * pi() * t / 365.25)", "cos(4 * pi() * t / 365.25)"]
+
+
+@query("growth_trend", f"""
+WITH terms AS MATERIALIZED (SELECT series, ln(y) AS ly, t, 1.0::DOUBLE AS one, {', '.join(f'{w} AS w{i}' for i, w in enumerate(WAVES))}
+  FROM (SELECT series, y, (day - 19723)::DOUBLE AS t FROM v_prio WHERE y > 0)),
+{_orthogonal_sql('t', ['one', 'w0', 'w1', 'w2', 'w3'])}, {_orthogonal_sql('one', ['t', 'w0', 'w1', 'w2', 'w3'])}
+SELECT s.series, {R('i.b', 4)} AS intercept, {R('s.b * 1000000', 4)} AS slope_ppm, {R('(exp(s.b * 365) - 1) * 100', 4)} AS annual_growth_pct
+FROM s_fit s JOIN i_fit i ON i.series = s.series""")
 def growth_trend(spark, sf):
     d = I.daily_by_priority(spark, sf).withColumn("t_days", (F.col("day") - 19723).cast("double"))
     g = M.growth_trend(d, ["series"])
-    return out(g.withColumn("annual_growth_pct", M.annual_growth_pct()))
+    return out(g.select("series", "intercept", (F.col("slope") * 1e6).alias("slope_ppm"),
+                        M.annual_growth_pct().alias("annual_growth_pct")), 4)
 
 
 @query("growth_trend_short", f"""
@@ -165,6 +188,30 @@ def feature_importance(spark, sf):
     return spark.createDataFrame(M.importance(m.parts["gbt"])[:20], "feature string, gain double")
 
 
+@query("topk_importance")
+def topk_importance(spark, sf):
+    m = M.fit("random_forest_trend", frame(spark, sf), ["series"], gbt={"numTrees": 10, "maxDepth": 5})
+    return spark.createDataFrame(M.importance(m.parts["forest"])[:15], "feature string, gain double")
+
+
+@query("model_registry", """
+SELECT alias, version, family, n FROM (SELECT 'champion' AS alias, 2 AS version, 'seasonal_naive_48' AS family
+  UNION ALL SELECT 'challenger', 1, 'seasonal_naive_168'), (SELECT count(*) AS n FROM v_demand)""")
+def model_registry(spark, sf):
+    from flowgrid.plans.registry import Registry
+
+    d = I.demand(spark, sf)
+    p = Project(root=shared_folder(spark, "registry"), series_keys=("series",))
+    reg = Registry(spark, p)
+    for family in ("seasonal_naive_168", "seasonal_naive_48"):
+        v = reg.register(M.fit(family, d, ["series"], "demand"), {"trigger": "query"})
+        reg.set_alias("champion", v)
+    reg.set_alias("challenger", 1)
+    rows = [(a, reg.version(a)["version"], reg.version(a)["family"]) for a in ("champion", "challenger")]
+    names = spark.createDataFrame(rows, "alias string, version int, family string")
+    return series.attach(names, d.agg(F.count("*").alias("n")), [])
+
+
 @query("permutation_importance")
 def permutation_importance(spark, sf):
     data = frame(spark, sf)

@@ -10,6 +10,7 @@ from flowgrid.functions import scalars as S
 from flowgrid.functions.timefns import day_date, day_of_hour, hour_ts
 from flowgrid.operators import explore, features, quality
 from flowgrid.queries.base import DT, R, TS, out, query
+from flowgrid.session import shared_folder
 from flowgrid.sources import inputs as I
 from flowgrid.sources import tables as T
 
@@ -318,3 +319,78 @@ def fn_conditional(spark, sf):
     return out(I.readings(spark, sf).select(
         "row_id", S.pct_error(F.lit(50.0), "demand").alias("ape"), F.coalesce("demand", F.lit(0.0)).alias("filled"),
         S.ratio(F.lit(100.0), F.floor("demand")).alias("safe_ratio")))
+
+
+# ---- table maintenance through storage -------------------------------------------------------------------------
+ORDERS_CSV = "o_orderkey bigint, o_orderdate timestamp_ntz, o_totalprice double"
+
+
+@query("source_csv", """
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE o_orderdate >= TIMESTAMP '1996-03-01' AND o_orderdate < TIMESTAMP '1996-06-01'""")
+def source_csv(spark, sf):
+    path = shared_folder(spark, "csv")
+    I.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice").write.option("header", True).csv(path)
+    df = spark.read.schema(ORDERS_CSV).option("header", True).csv(path)
+    return df.where(T.ts_range("o_orderdate", datetime(1996, 3, 1), datetime(1996, 6, 1)))
+
+
+@query("overwrite_table", "SELECT series, count(*) AS n FROM v_demand GROUP BY series")
+def overwrite_table(spark, sf):
+    path = shared_folder(spark, "overwrite")
+    T.overwrite(I.readings(spark, sf), path)
+    T.overwrite(I.demand(spark, sf), path)
+    return spark.read.parquet(path).groupBy("series").agg(F.count("*").alias("n"))
+
+
+@query("upsert_stored", f"""
+SELECT series, {TS('h')} AS ts, demand, note FROM (
+  SELECT series, h, demand, NULL AS note FROM v_demand d
+  WHERE NOT EXISTS (SELECT 1 FROM ({UPSERT_SRC}) s WHERE s.series = d.series AND s.h = d.h)
+  UNION ALL SELECT * FROM ({UPSERT_SRC}))""")
+def upsert_stored(spark, sf):
+    path = shared_folder(spark, "upsert")
+    with_day = lambda df: df.withColumn("p_day", day_date(day_of_hour("h")).cast("string"))
+    T.upsert(spark, with_day(I.demand(spark, sf)), path, ["series", "h"], "p_day")
+    stored = spark.read.parquet(path)
+    last = stored.where(F.col("p_day") == stored.agg(F.max("p_day").alias("m")).select("m").scalar())
+    twice = last.withColumn("_k", F.explode(F.array(F.lit(0), F.lit(24)))).select(
+        "series", (F.col("h") + F.col("_k")).alias("h"), (F.col("demand") * 2).alias("demand"), F.lit("corrected").alias("note"))
+    batch = f"{path}__batch"
+    T.overwrite(with_day(twice), batch)
+    for _ in range(2):  # idempotent
+        T.upsert(spark, spark.read.parquet(batch), path, ["series", "h"], "p_day")
+    return out(spark.read.option("mergeSchema", True).parquet(path).select("series", "h", "demand", "note"))
+
+
+@query("rebuild_table", f"SELECT series, {DT('day')} AS date, {R('y')} AS y FROM v_dmean WHERE day >= (SELECT min(day) + 21 FROM v_dmean)")
+def rebuild_table(spark, sf):
+    path = shared_folder(spark, "rebuild")
+    daily = explore.daily(I.demand(spark, sf), ["series"])
+    T.append(daily, path)
+    first = daily.agg((F.min("day") + 21).alias("d")).select("d").scalar()
+    T.overwrite(daily.where(F.col("day") >= first), path)
+    return out(spark.read.parquet(path))
+
+
+@query("table_exists", "SELECT true AS events, false AS nothing, count(*) AS n FROM events")
+def table_exists(spark, sf):
+    here, nowhere = T.exists(spark, f"{sf}/events.parquet"), T.exists(spark, f"{sf}/nothing.parquet")
+    return I.table(spark, sf, "events").agg(F.lit(here).alias("events"), F.lit(nowhere).alias("nothing"),
+                                            F.count("*").alias("n"))
+
+
+@query("load_source_cached", f"""
+SELECT feed, count(*) AS n, count(DISTINCT ts) AS stamps FROM (
+  SELECT 'consumption' AS feed, {TS('h')} AS ts FROM v_readings UNION ALL SELECT 'weather_obs', {TS('h')} FROM v_obs
+  UNION ALL SELECT 'weather_fcst', {TS('h')} FROM v_vint UNION ALL SELECT 'calendar', CAST(date AS TIMESTAMP) FROM v_cal) GROUP BY feed""")
+def load_source_cached(spark, sf):
+    root = shared_folder(spark, "feeds")
+    for name, df in I.feeds(spark, sf).items():
+        T.overwrite(df, f"{root}/{name}")
+    parts = None
+    for name, df in T.parquet_feeds(spark, root).items():
+        c = (F.col("date") if name == "calendar" else F.col("timestamp_local")).cast("timestamp_ntz")
+        one = df.agg(F.lit(name).alias("feed"), F.count("*").alias("n"), F.count_distinct(c).alias("stamps"))
+        parts = one if parts is None else parts.unionByName(one)
+    return parts
