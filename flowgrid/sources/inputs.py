@@ -211,9 +211,8 @@ def forecast_log(spark: SparkSession, sf: str) -> DataFrame:
     """Append-only log: every hour forecast twice, odd hours re-issued an hour later, even hours re-run at once."""
     w = wide_predictions(spark, sf)
     issue = ((day_of_hour("h") - 1) * 24 + 5).cast("int")
-    first = w.select("series", "h", issue.alias("issued_h"), F.lit(1).alias("created_seq"),
-                     F.lit("1").alias("model_version"), F.round("naive_168", 3).alias("predicted_m3"))
-    second = w.select("series", "h", (issue + F.pmod("h", F.lit(2))).cast("int").alias("issued_h"),
-                      F.lit(2).alias("created_seq"), F.lit("2").alias("model_version"),
-                      F.round("mean_3w", 3).alias("predicted_m3"))
-    return first.unionByName(second)
+    first = F.struct(issue.alias("issued_h"), F.lit(1).alias("created_seq"), F.lit("1").alias("model_version"),
+                     F.round("naive_168", 3).alias("predicted_m3"))
+    second = F.struct((issue + F.pmod("h", F.lit(2))).cast("int").alias("issued_h"), F.lit(2).alias("created_seq"),
+                      F.lit("2").alias("model_version"), F.round("mean_3w", 3).alias("predicted_m3"))
+    return w.select("series", "h", F.explode(F.array(first, second)).alias("_i")).select("series", "h", "_i.*")
