@@ -64,3 +64,10 @@ def fractional_days(ts: Column | str, origin: str) -> Column:
     whole = F.datediff(ts, F.lit(origin).cast("date"))
     seconds = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
     return whole + seconds / F.lit(86400.0)
+
+
+def utc_instant(ts: str) -> Column:
+    """A naive timestamp read as UTC, whatever the session zone is: streaming event time must be an instant."""
+    c = F.col(ts)
+    whole = (day_pos(c).cast("bigint") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60) * 1000000
+    return F.timestamp_micros(whole + (F.extract(F.lit("SECOND"), c) * 1000000).cast("bigint"))

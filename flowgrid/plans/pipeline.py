@@ -179,7 +179,7 @@ def quality_gate(spark: SparkSession, p: Project, run_id: str, today: date, allo
     return bool(ok)
 
 
-def _inputs(spark: SparkSession, p: Project, plan=None) -> dict[str, DataFrame]:
+def silver_inputs(spark: SparkSession, p: Project, plan=None) -> dict[str, DataFrame]:
     """Silver as the operators expect it, cut to the read-back ranges of the plan."""
     def since(df, day):
         if plan is None:
@@ -205,11 +205,11 @@ def _inputs(spark: SparkSession, p: Project, plan=None) -> dict[str, DataFrame]:
 def build(spark: SparkSession, p: Project, mode: str = "daily") -> tuple[date, date]:
     """Recompute the owed target days (all of them in backfill mode) and upsert the feature table."""
     s = list(p.series_keys)
-    history = _inputs(spark, p)["demand"]
+    history = silver_inputs(spark, p)["demand"]
     log = read(spark, p, "gold.demand_forecasts")
     log = None if log is None else log.select(hour_pos("target_ts").alias("h"))
     plan = features.refresh_range(history, log, backfill=mode == "backfill").first()
-    src = _inputs(spark, p, plan)
+    src = silver_inputs(spark, p, plan)
     tgt = features.targets(history, s, plan["first_day"], plan["last_day"], spark)
     feats = features.build_features(tgt, src["demand"], src["fcst"], src["calendar"], src["obs"], s,
                                     min_lag_h=p.forecast.min_lag_hours, tie=["_row_id"])
@@ -277,7 +277,7 @@ def monitor(spark: SparkSession, p: Project) -> tuple[bool, str]:
     if log is None:
         return False, "no forecasts yet"
     log = log.withColumn("h", hour_pos("target_ts"))
-    actual = _inputs(spark, p)["demand"]
+    actual = silver_inputs(spark, p)["demand"]
     daily = read(spark, p, "monitoring.forecast_accuracy_daily")
     scored = None if daily is None else daily.select(
         F.datediff("forecast_date", F.lit("1970-01-01").cast("date")).alias("forecast_day"))

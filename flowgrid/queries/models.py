@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowgrid.config import Decisions, Project, Quality, Training
 from flowgrid.functions.scalars import above
-from flowgrid.functions.timefns import day_date, day_of_hour, hour_of_day, weekday_of
+from flowgrid.functions.timefns import day_date, day_of_hour, hour_of_day, hour_pos, weekday_of
 from flowgrid.operators import decide as D
 from flowgrid.operators import evaluate as E
 from flowgrid.operators import explore as X
@@ -299,9 +299,8 @@ def run_daily(spark, sf):
         from flowgrid.plans.registry import Registry
 
         data = FE.training_frame(
-            spark.read.parquet(p.path("gold.demand_features")).withColumn(
-                "h", F.datediff("target_ts", F.lit("1970-01-01").cast("date")) * 24 + F.hour("target_ts")),
-            pipeline._inputs(spark, p)["demand"], ["site_id"])
+            spark.read.parquet(p.path("gold.demand_features")).withColumn("h", hour_pos("target_ts")),
+            pipeline.silver_inputs(spark, p)["demand"], ["site_id"])
         model = M.fit("seasonal_naive_168", data, ["site_id"], "demand")
         reg = Registry(spark, p)
         reg.set_alias("champion", reg.register(model, {"holdout_mape": "10"}))
@@ -343,7 +342,6 @@ def stream_bronze(spark, sf):
 
 @query("stream_dedupe", f"SELECT series, {TS('h')} AS ts, max(event_id) AS event_id FROM v_ev GROUP BY ALL")
 def stream_dedupe(spark, sf):
-    from flowgrid.functions.timefns import hour_pos
     from flowgrid.streaming import streams
 
     root = shared_folder(spark, "dedupe")
@@ -359,7 +357,7 @@ def stream_repeats(spark, sf):
 
     root = shared_folder(spark, "repeats")
     twice = stream_source(spark, sf).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    once = streams.exact_repeats(twice.withColumn("ts", F.col("ts").cast("timestamp")), ["event_id"], "ts", "2 days")
+    once = streams.exact_repeats(twice, ["event_id"], "ts", "2 days")
     streams.run(once, f"{root}/_cp", f"{root}/out")
     return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.count("*").alias("n"))
 
@@ -371,15 +369,14 @@ def stream_hourly(spark, sf):
     from flowgrid.streaming import streams
 
     root = shared_folder(spark, "hourly")
-    s = stream_source(spark, sf).select(F.col("event_type").alias("series"), F.col("ts").cast("timestamp").alias("ts"), "value")
+    s = stream_source(spark, sf).select(F.col("event_type").alias("series"), "ts", "value")
     streams.run(streams.hourly(s, ["series"], "ts", "value"), f"{root}/_cp", f"{root}/out")
-    return spark.read.parquet(f"{root}/out").select("series", F.col("ts").cast("timestamp_ntz").alias("ts"), "total", "n")
+    return spark.read.parquet(f"{root}/out").select("series", "ts", "total", "n")
 
 
 @query("stream_gate", """
 SELECT coalesce(reason, 'clean') AS outcome, count(*) AS n FROM v_tagged GROUP BY ALL""")
 def stream_gate(spark, sf):
-    from flowgrid.functions.timefns import hour_pos
     from flowgrid.operators import quality
     from flowgrid.streaming import streams
 

@@ -21,7 +21,7 @@ LIMITS = Quality(demand_max=200.0)
 def _rule(name: str):
     sql = f"SELECT series, {TS('h')} AS ts, row_id FROM v_tagged WHERE reason = '{name}'"
 
-    @query(f"dq_{'null_value' if name == 'null_value' else name}", sql)
+    @query(f"dq_{name}", sql)
     def rule(spark, sf):
         return out(tagged_readings(spark, sf).where(F.col("reason") == name).select("series", "h", "row_id"))
     return rule

@@ -125,25 +125,27 @@ def merged(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: list[str], partition_by: str) -> bool:
     """Upsert into a parquet table partitioned by ``partition_by``, which must be a function of the key.
 
-    Only partitions the source touches are read and rewritten (the semi join prunes them at run time).
-    Returns False when the source is empty.
+    The batch is written out once, so its plan runs once however often it is used below. Only the partitions it touches
+    are read and rewritten: their distinct values are days, bounded by the calendar, and the semi join on them prunes
+    folders at run time. Returns False when the batch is empty.
     """
-    if source.isEmpty():
-        return False
-    if not exists(spark, path):
-        append(source, path, [partition_by])
-        return True
-    target = spark.read.option("mergeSchema", True).parquet(path)
-    kind = dict(source.dtypes)[partition_by]
-    target = target.withColumn(partition_by, F.col(partition_by).cast(kind))
-    touched = target.join(F.broadcast(source.select(partition_by).distinct()), partition_by, "left_semi")
     stage = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
-    overwrite(merged(touched, source, keys), stage)
-    (balanced(spark.read.parquet(stage), [partition_by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_by).parquet(path))
+    overwrite(source, f"{stage}/batch")
+    batch = spark.read.schema(source.schema).parquet(f"{stage}/batch")
+    some = not batch.isEmpty()
+    if some and not exists(spark, path):
+        append(batch, path, [partition_by])
+    elif some:
+        target = spark.read.option("mergeSchema", True).parquet(path)
+        kind = dict(source.dtypes)[partition_by]
+        target = target.withColumn(partition_by, F.col(partition_by).cast(kind))
+        touched = target.join(F.broadcast(batch.select(partition_by).distinct()), partition_by, "left_semi")
+        overwrite(merged(touched, batch, keys), f"{stage}/merged")
+        (balanced(spark.read.parquet(f"{stage}/merged"), [partition_by]).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
     fs, staged = _file_system(spark, stage)
     fs.delete(staged, True)
-    return True
+    return some
 
 
 def high_water(frames: list[DataFrame], day: Column, keys: list[str] | None = None) -> DataFrame:

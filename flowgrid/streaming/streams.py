@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowgrid.functions.timefns import hour_ts, utc_instant
 from flowgrid.operators import quality
 from flowgrid.operators.series import latest_wins
 from flowgrid.sources import tables as T
@@ -43,7 +44,8 @@ def bronze(stream: DataFrame, checkpoint: str, path: str, batch_id: str) -> None
 
 def exact_repeats(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
     """Drop re-deliveries of the same row that arrive within the delay."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+    timed = stream.withColumn("_at", utc_instant(ts)).withWatermark("_at", delay)
+    return timed.dropDuplicatesWithinWatermark(keys).drop("_at")
 
 
 def latest_version(spark: SparkSession, stream: DataFrame, checkpoint: str, path: str, keys: list[str],
@@ -61,9 +63,11 @@ def latest_version(spark: SparkSession, stream: DataFrame, checkpoint: str, path
 
 def hourly(stream: DataFrame, keys: list[str], ts: str, value: str, delay: str = "1 hour") -> DataFrame:
     """Closed hourly windows per series; a window is final once the watermark has passed its end."""
-    return (stream.withWatermark(ts, delay).groupBy(F.window(ts, "1 hour"), *keys)
-            .agg(F.sum(F.col(value).cast("decimal(12,2)")).alias("total"), F.count("*").alias("n"))
-            .select(*keys, F.col("window.start").alias("ts"), F.col("total").cast("double").alias("total"), "n"))
+    timed = stream.withColumn("_at", utc_instant(ts)).withWatermark("_at", delay)
+    closed = timed.groupBy(F.window("_at", "1 hour"), *keys).agg(
+        F.sum(F.col(value).cast("decimal(12,2)")).alias("total"), F.count("*").alias("n"))
+    start = hour_ts(F.floor(F.unix_seconds("window.start") / 3600).cast("int"))
+    return closed.select(*keys, start.alias("ts"), F.col("total").cast("double").alias("total"), "n")
 
 
 def gate(spark: SparkSession, stream: DataFrame, checkpoint: str, silver: str, rejected: str, table: str,
