@@ -237,12 +237,15 @@ def autocovariance(df: DataFrame, keys: list[str], pos: str, value: str, max_lag
 
 
 def acf(df: DataFrame, keys: list[str], pos: str, value: str, max_lag: int, chunk: int = HOUR_CHUNK) -> DataFrame:
-    """Autocorrelation r_k = sum (x_t - m)(x_{t+k} - m) / sum (x_t - m)^2 -> keys, lag, r."""
+    """Autocorrelation r_k = sum (x_t - m)(x_{t+k} - m) / sum (x_t - m)^2 -> keys, lag, r.
+
+    Sums run over the pairs that exist; a lag no pair spans has no row.
+    """
     mean = df.groupBy(*keys).agg(F.avg(value).alias("_mean"))
     centred = attach(df, mean, keys).withColumn("_dev", F.col(value) - F.col("_mean"))
     cross = autocovariance(centred, keys, pos, "_dev", max_lag, chunk)
     total = cross.where(F.col("lag") == 0).select(*keys, F.col("cross").alias("_total"))
-    return attach(cross, total, keys).select(*keys, "lag", F.try_divide("cross", "_total").alias("r"))
+    return attach(cross, total, keys).where(F.col("pairs") > 0).select(*keys, "lag", F.try_divide("cross", "_total").alias("r"))
 
 
 def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float, out: str = "q",
