@@ -98,7 +98,7 @@ def normalise(df: DataFrame, trend: DataFrame, keys: list[str], label: str | Non
 def ridge_penalty(df: DataFrame, label: str, alpha: float) -> float:
     """The regParam that makes ``LinearRegression`` solve min |y - Xb|^2 + alpha |b|^2 on standardised features.
 
-    Spark minimises 1/(2n) |y - Xb|^2 / sd(y)... + regParam / 2 |b|^2 on a label scaled by its deviation, hence
+    Spark averages the squared error over the rows and scales the label by its deviation, hence
     regParam = alpha * sd(y) / n.
     """
     row = df.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("s")).first()
