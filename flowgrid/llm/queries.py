@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgrid.llm import hash_ring, host_reputation, maxscore, simhash, spm_bpe
+from flowgrid.llm import hash_ring, host_reputation, maxscore, nb_svm, simhash, spm_bpe
 from flowgrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,14 @@ def op3_simhash_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
+@query("op6_nb_svm")
+def op6_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
+    scored = nb_svm.score(docs, nb_svm.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(nb_svm.remainder(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"),
+                         F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query("op7_bounded_ring")
 def op7_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hash_ring.place(table(spark, sf_dir, "documents"), shards=16)
