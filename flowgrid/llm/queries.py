@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgrid.llm import hash_ring, host_reputation, maxscore, nb_svm, simhash, spm_bpe
+from flowgrid.llm import decontaminate, hash_ring, host_reputation, maxscore, nb_svm, simhash, spm_bpe
 from flowgrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,14 @@ def _strength_sql(units: str) -> str:
             f"sum(k * (k - 1))::DOUBLE / sum(n * (n - 1))::DOUBLE AS m2 FROM {units}) GROUP BY mu, m2)")
 
 
+@query("op1_latent_decontamination")
+def op1_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents: one row for each document and benchmark item that it holds."""
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("cosine", 4).alias("cosine"), F.round("lcs", 4).alias("lcs"),
+                        F.round("answer", 4).alias("answer"), "kind")
+
+
 @query("op2_host_reputation", f"""
     WITH bad AS (SELECT doc_id AS page_id, max((quality = 0 OR toxic = 1)::INT) AS bad FROM labels
                  WHERE doc_id IS NOT NULL AND (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY 1),
