@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgrid.llm import decontaminate, hash_ring, host_reputation, maxscore, nb_svm, simhash, spm_bpe
+from flowgrid.llm import decontaminate, hash_ring, host_reputation, maxscore, nb_svm, pii_disclosure, secret_scan, simhash, spm_bpe
 from flowgrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,11 @@ def op3_simhash_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
+@query("op5_markov_secrets")
+def op5_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op6_nb_svm")
 def op6_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
@@ -111,6 +116,11 @@ def op8_spm_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.PATTERN)
 
 
+@query("op9_disclosure_pii")
+def op9_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_disclosure.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op10_maxscore", """
     WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS x FROM embeddings
                WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
