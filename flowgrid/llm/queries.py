@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgrid.llm import decontaminate, hash_ring, host_reputation, maxscore, nb_svm, pii_disclosure, secret_scan, simhash, spm_bpe
+from flowgrid.llm import decontaminate, hash_ring, host_reputation, maxscore, nb_svm, pii_disclosure, secret_scan, simhash, spm_bpe, suffix_buckets
 from flowgrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,11 @@ def op3_simhash_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
+@query("op4_bucket_refinement")
+def op4_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_buckets.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op5_markov_secrets")
 def op5_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(table(spark, sf_dir, "documents"))
