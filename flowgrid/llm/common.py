@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +13,16 @@ from pyspark.sql import functions as F
 from flowgrid.session import shared_folder
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors' Python once per context; they need not share the driver's folders."""
+    context = spark.sparkContext
+    if getattr(context, "_flowgrid_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    context.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="flowgrid-"), "flowgrid"), "zip", root, "flowgrid"))
+    context._flowgrid_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

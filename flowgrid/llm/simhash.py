@@ -250,14 +250,32 @@ def components(edges: DataFrame) -> DataFrame:
                         .select("node", F.least("label", "top").alias("label")), "labels")
 
 
-def classes(docs: DataFrame, k: int = 4, bits: int = 64, radius: int = 4, ratio: float = 0.0) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id of every row of ``docs`` (doc_id, text)."""
-    rows = stored(fingerprints(docs, k, bits), "fingerprints")
+def grouped(rows: DataFrame, bits: int, radius: int, ratio: float) -> DataFrame:
+    """fp, component_id, root of every distinct fingerprint of the stored ``rows`` (doc_id, fp, size)."""
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.max("size").alias("size")), "prints")
     group = components(links(prints, bits, radius, ratio))
-    members = group.join(prints, group["node"] == prints["fp"]).select("node", "label", "first")
+    members = group.join(prints, group["node"] == prints["fp"]).select("label", "first")
     least = stored(members.groupBy("label").agg(F.min("first").alias("component_id")), "components")
-    linked = stored(group.join(least, "label").select(F.col("node").alias("fp"), "component_id"), "linked")
-    of = stored(prints.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first").alias("component_id")), "classes")
-    return rows.join(of, "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+    linked = stored(group.join(least, "label").select(F.col("node").alias("fp"), "component_id", "label"), "linked")
+    return stored(prints.join(linked, "fp", "left").select(
+        "fp", F.coalesce("component_id", "first").alias("component_id"), F.coalesce("label", "fp").alias("root")), "classes")
+
+
+def classes(docs: DataFrame, k: int = 4, bits: int = 64, radius: int = 4, ratio: float = 0.0) -> DataFrame:
+    """doc_id, fingerprint (hex), component_id of every row of ``docs`` (doc_id, text)."""
+    rows = stored(fingerprints(docs, k, bits), "fingerprints")
+    return rows.join(grouped(rows, bits, radius, ratio), "fp").select(
+        "doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, k: int = 5, bits: int = 128, radius: int = 27, ratio: float = 0.75) -> DataFrame:
+    """``docs`` without the rows that are not the first of their near-duplicate group; all columns stay.
+
+    The first row of a group has its smallest id. With 128 bits, texts whose shingle sets have Jaccard similarity 0.8
+    differ in 19 bits on average, with a standard deviation of 4, unrelated ones in 64 +- 5.7: radius 27 finds 97 % of
+    the pairs at 0.8 and nearly all above. Rows that share the group's smallest id all stay, as do rows with a null id.
+    """
+    rows = stored(fingerprints(docs, k, bits), "fingerprints")
+    classed = rows.where("doc_id IS NOT NULL").join(grouped(rows, bits, radius, ratio), "fp")
+    copies = stored(classed.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct(), "copies")
+    return docs.join(copies, docs["doc_id"].cast("bigint") == copies["__id"], "left_anti")

@@ -136,9 +136,10 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "de
     return encoded.mapInArrow(run, _extended(encoded, out))
 
 
-def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens and the SHA-256 of the packed ids and of the decoded bytes."""
+def digests(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens and the SHA-256 of the packed ids and of the decoded bytes; on request the ids too."""
     both = decode(encode(docs.select("doc_id", F.col("text").cast("string").alias("text")), ranks_path, pattern)
                   .select("doc_id", "ids"), ranks_path)
     return both.select("doc_id", F.expr("cast(octet_length(ids) div 4 AS bigint)").alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                       *["ids"] * keep_ids)
