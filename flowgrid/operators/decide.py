@@ -1,4 +1,4 @@
-"""Promotion and retraining decisions: plain rules for one model, column rules for many series at once."""
+"""Promotion and retraining decisions as column rules, for one model or many series at once."""
 
 from __future__ import annotations
 
@@ -9,21 +9,19 @@ from flowgrid.config import Decisions
 from flowgrid.functions.timefns import day_of_hour
 
 
-def promote(challenger: float, champion: float | None, d: Decisions = Decisions()) -> tuple[bool, str]:
-    """Promote an acceptable first model, or one that beats the champion by the required relative margin."""
-    if challenger > d.max_acceptable_mape:
-        return False, f"challenger MAPE {challenger:.2f}% is above the ceiling of {d.max_acceptable_mape}%"
-    if champion is None:
-        return True, "first acceptable model"
-    gain = 100 * (champion - challenger) / champion
-    word = "promote" if gain >= d.min_improvement_pct else "keep champion"
-    return gain >= d.min_improvement_pct, f"{word}: {gain:.2f}% better, {d.min_improvement_pct}% needed"
+def promotion(errors: DataFrame, d: Decisions = Decisions()) -> DataFrame:
+    """``errors`` (challenger, champion) with promote, gain_pct and reason, a row per model or series."""
+    gain = F.try_divide(F.col("champion") - F.col("challenger"), F.col("champion")) * 100
+    judged = errors.withColumn("gain_pct", gain).withColumn("promote", promote_column(F.col("challenger"), F.col("champion"), d))
+    why = F.format_string(f"error %.3f against %s; ceiling {d.max_acceptable_mape:g}, least gain {d.min_improvement_pct:g} percent",
+                          F.col("challenger"), F.coalesce(F.format_string("%.3f", "champion"), F.lit("no champion")))
+    return judged.withColumn("reason", why)
 
 
 def promote_column(challenger: Column, champion: Column, d: Decisions = Decisions()) -> Column:
-    gain = F.try_divide(champion - challenger, champion) * 100
-    return (F.when(challenger > d.max_acceptable_mape, False).when(champion.isNull(), True)
-            .otherwise(gain >= d.min_improvement_pct))
+    """Below the ceiling, and without a champion or better by the least relative gain."""
+    enough = F.try_divide(champion - challenger, champion) * 100 >= d.min_improvement_pct
+    return (challenger <= d.max_acceptable_mape) & (champion.isNull() | F.coalesce(enough, F.lit(False)))
 
 
 def fair_hours(df: DataFrame, trained_through: Column, keys: list[str], pos: str = "h",

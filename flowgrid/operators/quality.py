@@ -65,7 +65,7 @@ def row_results(tagged: DataFrame, table: str, rules: tuple[str, ...] = ROW_RULE
     n = F.col("failed_rows")
     return long.select(
         "check_name", F.lit(table).alias("table_name"), F.lit("warn").alias("severity"), (n == 0).alias("passed"),
-        n.alias("failed_rows"), F.when(n == 0, "ok").otherwise(F.concat(n.cast("string"), F.lit(" row(s) quarantined")))
+        n.alias("failed_rows"), F.when(n == 0, "ok").otherwise(F.concat(n.cast("string"), F.lit(" rows rejected")))
         .alias("detail"))
 
 
@@ -104,7 +104,7 @@ def completeness_result(per_series: DataFrame, q: Quality) -> DataFrame:
         F.lit("hourly_completeness").alias("check_name"), F.lit("consumption").alias("table_name"),
         F.lit("error").alias("severity"), (F.coalesce(F.col("ok"), F.lit(1)) == 1).alias("passed"),
         F.coalesce("missing", F.lit(0)).alias("failed_rows"),
-        F.format_string(f"%d/%d hours missing (%.2f%%, limit {q.max_missing_pct:g}%% or {q.max_missing_hours}h)",
+        F.format_string(f"%d of %d hours lack a clean reading: %.2f%%; allowed {q.max_missing_pct:g}%% or {q.max_missing_hours} hours",
                         F.coalesce("missing", F.lit(0)), F.coalesce("expected", F.lit(0)), pct).alias("detail"))
 
 
@@ -118,7 +118,7 @@ def horizon_coverage(clean_fcst: DataFrame, keys: list[str], target_day: Column,
 def horizon_result(coverage: DataFrame, target_day: str, horizon: int = 24) -> DataFrame:
     low = F.coalesce(F.min("hours"), F.lit(0))
     gap = F.greatest(F.lit(horizon) - F.col("hours"), F.lit(0))
-    text = F.format_string(f"missing forecast hours for {target_day}: %d of {horizon}", gap)
+    text = F.format_string(f"{target_day} lacks %d of {horizon} forecast hours", gap)
     return coverage.agg(low.alias("hours")).select(
         F.lit("forecast_horizon_coverage").alias("check_name"), F.lit("weather_fcst").alias("table_name"),
         F.lit("error").alias("severity"), (gap == 0).alias("passed"), gap.cast("bigint").alias("failed_rows"),
@@ -136,17 +136,19 @@ def verdict(results: DataFrame) -> Column:
     return F.coalesce(F.min(F.when(F.col("severity") == "error", F.col("passed").cast("int"))), F.lit(1)) == 1
 
 
+# fault -> feed it breaks, rows it takes away (last_day: newest day of the batch)
+FAULTS = {
+    "missing_forecast": ("weather_fcst", lambda pos, last_day: F.lit(True)),
+    "meter_outage": ("consumption", lambda pos, last_day: (pos - last_day * 24).between(6, 13)),
+}
+
+
 def inject_fault(batch: DataFrame, fault: str, feed: str, pos: str = "h") -> DataFrame:
-    """Break a batch on purpose: drop every forecast, or the readings of 06-14 h of the last day."""
-    if fault == "none":
+    """The batch without the rows that a fault takes from this feed."""
+    if fault != "none" and fault not in FAULTS:
+        raise ValueError(f"unknown fault {fault!r}; known: none, {', '.join(FAULTS)}")
+    broken, gone = FAULTS.get(fault, ("", None))
+    if feed != broken:
         return batch
-    if fault == "missing_forecast":
-        return batch.where(F.lit(False)) if feed == "weather_fcst" else batch
-    if fault == "meter_outage":
-        if feed != "consumption":
-            return batch
-        last = batch.agg(F.max(day_of_hour(pos)).alias("_last_day"))
-        start = F.col("_last_day") * 24
-        gone = (F.col(pos) >= start + 6) & (F.col(pos) < start + 14)
-        return attach(batch, last, []).where(~gone).drop("_last_day")
-    raise ValueError(f"unknown fault {fault!r}: use none, missing_forecast or meter_outage")
+    last = batch.agg(F.max(day_of_hour(pos)).alias("_last_day"))
+    return attach(batch, last, []).where(~gone(F.col(pos), F.col("_last_day"))).drop("_last_day")

@@ -1,51 +1,26 @@
-"""Which days to land: the whole gap since the last landed day, in one batch."""
+"""Which days to land: the whole gap since the last landed day, in one batch, decided on day-number columns."""
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgrid.functions.timefns import day_of_hour
 
-ONE_DAY = timedelta(days=1)
-
-
-def next_day(last_landed: date | None, today: date) -> date | None:
-    """First complete day still missing, or None when yesterday is landed."""
-    if last_landed is None:
-        raise ValueError("nothing landed yet: run the setup backfill first")
-    nxt = last_landed + ONE_DAY
-    return nxt if nxt < today else None
-
-
-def backfill_end(history_end: date, today: date) -> date:
-    """The configured end of history, never later than yesterday."""
-    return min(history_end, today - ONE_DAY)
-
-
-def is_fresh(latest: date | None, today: date) -> bool:
-    return latest is not None and latest >= today - ONE_DAY
-
-
-def plan(mode: str, last_landed: date | None, today: date, history_start: date,
-         history_end: date) -> tuple[date, date] | None:
-    """(start, end) of the days to land, or None. ``backfill`` does nothing once anything is landed."""
-    if mode == "backfill":
-        return None if last_landed else (history_start, backfill_end(history_end, today))
-    start = next_day(last_landed, today)
-    return None if start is None else (start, today - ONE_DAY)
-
 
-def local_now(zone: str, now_utc: datetime | None = None) -> datetime:
-    """Naive local wall clock."""
-    from datetime import timezone
-    from zoneinfo import ZoneInfo
+def due_days(landed: DataFrame, today: Column, history: tuple[int, int] | None = None) -> DataFrame:
+    """One row (high_water, first_day, last_day); first_day is null when nothing is due.
 
-    now = now_utc or datetime.now(timezone.utc)
-    now = now.replace(tzinfo=timezone.utc) if now.tzinfo is None else now
-    return now.astimezone(ZoneInfo(zone)).replace(tzinfo=None)
+    ``landed`` holds ``high_water`` per table or series, possibly none. ``history`` is the span of a backfill, which
+    ends yesterday at the latest and is due only while nothing has landed.
+    """
+    mark, yesterday = F.col("high_water"), today - 1
+    one = landed.agg(F.max("high_water").alias("high_water"))
+    if history is None:
+        first, last = F.when(mark < yesterday, mark + 1), yesterday
+    else:
+        first, last = F.when(mark.isNull(), F.lit(history[0])), F.least(F.lit(history[1]), yesterday)
+    return one.select("high_water", first.alias("first_day"), F.when(first.isNotNull(), last).alias("last_day"))
 
 
 def missing_days(high_water: DataFrame, keys: list[str], today: Column) -> DataFrame:

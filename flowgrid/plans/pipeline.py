@@ -1,8 +1,10 @@
 """The daily job: land -> bronze -> quality gate -> silver -> features -> forecast -> monitor.
 
-Only scalars reach the driver (watermarks, plan dates, the verdict, the promotion decision). Each step can be run
-again after a failure: landing resumes from the high-water mark, bronze skips known batches, silver / features /
-accuracy are upserts by key, and the forecast log is append-only and resolved on read.
+Only scalars reach the driver (watermarks, plan dates, the verdict, the promotion decision) and the ids of pending
+batches. Each step can be run again after a failure. Landing and bronze are partitioned by batch, and a small ledger per
+layer names the batches that it holds complete; it is written last. A step works on the batches that the ledger before
+it has and its own lacks, so nothing else is read and a job killed between two feeds repeats the whole batch. Silver,
+features and accuracy are upserts by key; the forecast log is append-only and resolved on read.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from flowgrid.sources import tables as T
 
 ONE_DAY = timedelta(days=1)
 EPOCH = date(1970, 1, 1)
+ACTIVE_DAYS = 28  # a series with a reading in so many days before the owed ones owes a forecast
 
 # feed -> required columns, ranged column, series-keyed?
 RULES = {
@@ -37,9 +40,32 @@ RULES = {
 }
 
 
+LEDGER = "batch_id string, newest_day int, next_row bigint, ingested_at timestamp"
+
+
 def read(spark: SparkSession, p: Project, table: str) -> DataFrame | None:
     path = p.path(table)
-    return spark.read.option("mergeSchema", True).parquet(path) if T.exists(spark, path) else None
+    return spark.read.parquet(path) if T.exists(spark, path) else None
+
+
+def ledger(spark: SparkSession, p: Project, layer: str) -> DataFrame:
+    """One row per batch that a layer holds complete."""
+    path = p.path(f"{layer}.batches")
+    return spark.read.schema(LEDGER).parquet(path) if T.exists(spark, path) else spark.createDataFrame([], LEDGER)
+
+
+def enter(spark: SparkSession, p: Project, layer: str, rows: DataFrame) -> None:
+    T.append(rows.select("batch_id", "newest_day", "next_row", "ingested_at").coalesce(1), p.path(f"{layer}.batches"))
+
+
+def pending(spark: SparkSession, p: Project, before: str, layer: str) -> DataFrame:
+    """Ledger rows of the layer before that this layer lacks."""
+    return ledger(spark, p, before).join(ledger(spark, p, layer).select("batch_id"), "batch_id", "left_anti")
+
+
+def of_batches(df: DataFrame | None, ids: list[str]) -> DataFrame | None:
+    """The partitions of the given batches."""
+    return None if df is None else df.where(F.col("_batch_id").isin(ids))
 
 
 def scalar(df: DataFrame):
@@ -51,14 +77,20 @@ def newest_day(df: DataFrame | None, column: str = "timestamp_local") -> date |
     return None if df is None else scalar(df.agg(F.to_date(F.max(column))))
 
 
-def last_landed(spark: SparkSession, p: Project) -> date | None:
-    days = [newest_day(read(spark, p, f"{layer}.consumption")) for layer in ("landing", "silver")]
-    return max((d for d in days if d), default=None)
+def landed_days(spark: SparkSession, p: Project) -> DataFrame:
+    """high_water of the landed batches and of silver, which a refresh may fill without landing anything."""
+    marks = ledger(spark, p, "landing").select(F.col("newest_day").alias("high_water"))
+    silver = read(spark, p, "silver.consumption")
+    if silver is None:
+        return marks
+    day = F.datediff(F.to_date("p_day"), F.lit("1970-01-01").cast("date"))  # folder names only
+    return marks.union(silver.agg(F.max(day).alias("high_water")))
 
 
 def today_of(spark: SparkSession, p: Project) -> date:
     """The issue day of this environment: the day after its newest reading, even when it lags behind the clock."""
-    newest = newest_day(read(spark, p, "silver.consumption"))
+    silver = read(spark, p, "silver.consumption")
+    newest = None if silver is None else scalar(silver.agg(F.to_date(F.max("p_day"))))
     if newest is None:
         raise RuntimeError("silver is empty: run landing and the gate first")
     return newest + ONE_DAY
@@ -67,11 +99,14 @@ def today_of(spark: SparkSession, p: Project) -> date:
 def land(spark: SparkSession, p: Project, feeds: dict[str, DataFrame], mode: str, now_local: datetime,
          fault: str = "none") -> str:
     """Append every missing complete day of the four feeds as one batch; returns its id or why there is none."""
-    span = landing.plan(mode, last_landed(spark, p), now_local.date(), date.fromisoformat(p.history_start),
-                        date.fromisoformat(p.history_end))
-    if span is None:
+    days = lambda d: (d - EPOCH).days
+    history = (days(date.fromisoformat(p.history_start)), days(date.fromisoformat(p.history_end))) if mode == "backfill" else None
+    due = landing.due_days(landed_days(spark, p), F.lit(days(now_local.date())), history).first()
+    if due["first_day"] is None:
+        if mode != "backfill" and due["high_water"] is None:
+            raise RuntimeError("nothing has landed: run the setup backfill first")
         return "skipped" if mode == "backfill" else "up_to_date"
-    start, end = span
+    start, end = (EPOCH + timedelta(days=due[c]) for c in ("first_day", "last_day"))
     batch = T.source_window(feeds, start, end, now_local)
     for name, df in batch.items():
         if fault != "none" and name != "calendar":
@@ -80,22 +115,34 @@ def land(spark: SparkSession, p: Project, feeds: dict[str, DataFrame], mode: str
     if batch["consumption"].isEmpty():
         raise RuntimeError(f"the source returned no consumption for {start}..{end}")
     batch_id = T.new_batch_id(end)
+    first_row = scalar(ledger(spark, p, "landing").agg(F.coalesce(F.max("next_row"), F.lit(0))))
+    next_row = first_row
     for name, df in batch.items():
-        row_id = F.concat(F.lit(f"{batch_id}-"), F.monotonically_increasing_id())
-        stamped = T.with_lineage(df, batch_id).withColumn("_row_id", row_id)
+        stamped = T.with_lineage(df, batch_id).withColumn("_row_id", first_row + F.monotonically_increasing_id())
         if name != "consumption" and stamped.isEmpty():
             continue
-        T.append(stamped, p.path(f"landing.{name}"))
+        T.append(stamped, p.path(f"landing.{name}"), ["_batch_id"])
+        stored = of_batches(read(spark, p, f"landing.{name}"), [batch_id])
+        top = None if stored is None else scalar(stored.agg(F.max("_row_id")))
+        next_row = next_row if top is None else max(next_row, top + 1)
+    enter(spark, p, "landing", spark.createDataFrame([(batch_id, (end - EPOCH).days, next_row)], "batch_id string, newest_day int, "
+                                                     "next_row bigint").withColumn("ingested_at", F.current_timestamp()))
     return batch_id
 
 
 def ingest_bronze(spark: SparkSession, p: Project) -> None:
     """Copy landing batches that bronze does not hold; one ingestion time for the whole run."""
-    now = F.lit(scalar(spark.sql("SELECT current_timestamp()")))
+    new = pending(spark, p, "landing", "bronze").withColumn("ingested_at", F.lit(scalar(spark.sql("SELECT current_timestamp()"))))
+    new = spark.createDataFrame(new.collect(), LEDGER)  # batches since the last run, one a day
+    ids = [r["batch_id"] for r in new.collect()]
+    if not ids:
+        return
     for name in FEEDS:
-        src = read(spark, p, f"landing.{name}")
-        if src is not None:
-            T.append(T.new_batches(src, read(spark, p, f"bronze.{name}"), now), p.path(f"bronze.{name}"))
+        src = of_batches(read(spark, p, f"landing.{name}"), ids)
+        if src is not None and not src.isEmpty():
+            stamp = F.lit(new.first()["ingested_at"])
+            T.replace_partitions(src.withColumn("_ingested_at", stamp), p.path(f"bronze.{name}"), "_batch_id")
+    enter(spark, p, "bronze", new)
 
 
 def _tag(df: DataFrame, name: str, p: Project) -> DataFrame:
@@ -126,18 +173,16 @@ SILVER_KEYS = {"consumption": ["timestamp_local"], "weather_obs": ["timestamp_lo
 def quality_gate(spark: SparkSession, p: Project, run_id: str, today: date, allow_no_new: bool = False) -> bool:
     """Validate everything in bronze newer than silver. Silver is written only when every blocking check passes;
     results and quarantine are recorded either way, and a failed batch is validated again with the next one."""
-    silver = read(spark, p, "silver.consumption")
-    mark = None if silver is None else scalar(silver.agg(F.max("_ingested_at")))
-    new = {}
-    for name in FEEDS:
-        df = read(spark, p, f"bronze.{name}")
-        new[name] = df if df is None or mark is None else df.where(F.col("_ingested_at") > F.lit(mark))
+    due = pending(spark, p, "bronze", "silver").collect()  # batches since the last passed gate
+    ids = [r["batch_id"] for r in due]
+    new = {name: of_batches(read(spark, p, f"bronze.{name}"), ids) for name in FEEDS}
     cons = new["consumption"]
     if cons is None or cons.isEmpty():
-        latest = newest_day(silver)
-        ok = landing.is_fresh(latest, today) or (allow_no_new and mark is not None)
-        row = spark.createDataFrame([("freshness", "consumption", "error", ok, 0,
-                                      f"no new batch; newest complete day in silver is {latest}")],
+        silver = read(spark, p, "silver.consumption")
+        latest = None if silver is None else scalar(silver.agg(F.to_date(F.max("p_day"))))
+        days = F.lit(None if latest is None else (latest - EPOCH).days).cast("int")
+        ok = scalar(spark.range(1).select(quality.freshness(days, F.lit((today - EPOCH).days), allow_no_new)))
+        row = spark.createDataFrame([("freshness", "consumption", "error", ok, 0, f"nothing to validate; silver ends on {latest}")],
                                     "check_name string, table_name string, severity string, passed boolean, "
                                     "failed_rows bigint, detail string")
         _record(spark, p, run_id, row, None)
@@ -155,7 +200,7 @@ def quality_gate(spark: SparkSession, p: Project, run_id: str, today: date, allo
     last = scalar(cons.agg(F.to_date(F.max("timestamp_local"))))
     target = last + 2 * ONE_DAY
     results = results.unionByName(quality.completeness_result(per, p.quality))
-    if "weather_fcst" in good:
+    if "weather_fcst" in good and not good["weather_fcst"].isEmpty():
         fc = good["weather_fcst"].withColumn("_ih", hour_pos("forecast_issued_local"))
         cover = quality.horizon_coverage(fc, [], F.lit((target - EPOCH).days), "_ih", "_h")
         results = results.unionByName(quality.horizon_result(cover, str(target), p.forecast.horizon_hours))
@@ -163,7 +208,7 @@ def quality_gate(spark: SparkSession, p: Project, run_id: str, today: date, allo
         lacking = p.forecast.horizon_hours
         results = results.unionByName(spark.createDataFrame(
             [("forecast_horizon_coverage", "weather_fcst", "error", False, lacking,
-              f"missing forecast hours for {target}: {lacking} of {lacking}")], results.schema))
+              f"{target} lacks {lacking} of {lacking} forecast hours")], results.schema))
     results = results.persist(StorageLevel.MEMORY_AND_DISK)
     ok = scalar(results.agg(quality.verdict(results)))
     bad = reduce(DataFrame.unionByName, [quality.quarantine(t, n) for n, t in tagged.items()])
@@ -174,6 +219,7 @@ def quality_gate(spark: SparkSession, p: Project, run_id: str, today: date, allo
             at = F.col("date") if n == "calendar" else F.to_date("timestamp_local")
             part = df.drop("_h").withColumn("p_day", at.cast("string"))
             T.upsert(spark, part, p.path(f"silver.{n}"), keys, "p_day")
+        enter(spark, p, "silver", spark.createDataFrame(due, LEDGER))
     for df in [results, *tagged.values()]:
         df.unpersist()
     return bool(ok)
@@ -184,7 +230,8 @@ def silver_inputs(spark: SparkSession, p: Project, plan=None) -> dict[str, DataF
     def since(df, day):
         if plan is None:
             return df
-        return df.where(F.col("timestamp_local") >= F.lit(EPOCH + timedelta(days=int(day))).cast("timestamp_ntz"))
+        first = EPOCH + timedelta(days=int(day))  # the folder names prune, the raw column prunes row groups
+        return df.where((F.col("p_day") >= str(first)) & (F.col("timestamp_local") >= F.lit(first).cast("timestamp_ntz")))
 
     s = list(p.series_keys)
     cons = since(read(spark, p, "silver.consumption"), plan and plan["demand_from"])
@@ -236,10 +283,19 @@ def day_slice(df: DataFrame, column: str, first: date, last: date) -> DataFrame:
         column, datetime(first.year, first.month, first.day), datetime(last.year, last.month, last.day) + ONE_DAY))
 
 
-def incomplete_days(df: DataFrame, keys: list[str], first: date, last: date, horizon: int = 24) -> DataFrame:
-    """Series without exactly ``horizon`` feature rows on every owed day."""
-    need = horizon * ((last - first).days + 1)
-    return df.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") != need)
+def incomplete_days(df: DataFrame, keys: list[str], first: date, last: date, horizon: int = 24,
+                    series: DataFrame | None = None, column: str = "target_ts") -> DataFrame:
+    """keys, day, rows of every owed day without exactly ``horizon`` feature rows, also of series without any row.
+
+    ``series`` lists the series that owe a forecast; those of ``df`` by default.
+    """
+    spark = df.sparkSession
+    day = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("day")
+    owed = (spark.range(1) if not keys else (df if series is None else series).select(*keys).distinct()).select(*keys, day)
+    have = df.groupBy(*keys, F.to_date(column).alias("day")).agg(F.count("*").alias("rows"))
+    same = [owed[c].eqNullSafe(have[c]) for c in [*keys, "day"]]
+    rows = F.coalesce(have["rows"], F.lit(0))
+    return owed.join(have, same, "left").select(*[owed[c] for c in [*keys, "day"]], rows.alias("rows")).where(F.col("rows") != horizon)
 
 
 def forecast_rows(scored: DataFrame, keys: list[str], issue_hour: int = 5) -> DataFrame:
@@ -258,7 +314,8 @@ def forecast(spark: SparkSession, p: Project, run_id: str) -> int:
     s = list(p.series_keys)
     first, last = owed_days(spark, p)
     x = day_slice(read(spark, p, "gold.demand_features"), "target_ts", first, last)
-    if x.isEmpty() or not incomplete_days(x, s, first, last, p.forecast.horizon_hours).isEmpty():
+    known = read(spark, p, "silver.consumption").where(F.col("p_day") >= str(first - ACTIVE_DAYS * ONE_DAY))
+    if x.isEmpty() or not incomplete_days(x, s, first, last, p.forecast.horizon_hours, known).isEmpty():
         raise RuntimeError(f"feature rows of {first}..{last} are incomplete")
     scored = model.predict(x.withColumn("h", hour_pos("target_ts")))
     rows = forecast_rows(scored, s, p.forecast.issue_hour).select(
@@ -277,14 +334,15 @@ def monitor(spark: SparkSession, p: Project) -> tuple[bool, str]:
     if log is None:
         return False, "no forecasts yet"
     log = log.withColumn("h", hour_pos("target_ts"))
-    actual = silver_inputs(spark, p)["demand"]
+    readings = read(spark, p, "silver.consumption")
+    cols = [*s, hour_pos("timestamp_local").alias("h"), F.col("demand_m3h").alias("demand")]
     daily = read(spark, p, "monitoring.forecast_accuracy_daily")
     scored = None if daily is None else daily.select(
         F.datediff("forecast_date", F.lit("1970-01-01").cast("date")).alias("forecast_day"))
-    plan = evaluate.backlog_range(actual, log, scored).first()
+    plan = evaluate.backlog_range(readings.select(*cols), log, scored).first()
     first, last = (EPOCH + timedelta(days=plan[c]) for c in ("first_day", "last_day"))
     part = day_slice(log, "target_ts", first, last)
-    hourly = evaluate.reconcile(part, actual.where(day_of_hour("h").between(plan["first_day"], plan["last_day"])), s)
+    hourly = evaluate.reconcile(part, day_slice(readings, "timestamp_local", first, last).select(*cols), s)
     hourly = hourly.withColumn("forecast_date", day_date("forecast_day")).withColumn(
         "p_day", F.col("forecast_date").cast("string")).persist(StorageLevel.MEMORY_AND_DISK)
     T.upsert(spark, hourly.select(*s, "forecast_date", "target_ts", "issued_at", "model_version", "predicted_m3",
@@ -308,7 +366,7 @@ def monitor(spark: SparkSession, p: Project) -> tuple[bool, str]:
 
 
 def refresh(spark: SparkSession, source: Project, target: Project, days: int = 180) -> None:
-    """Copy the last ``days`` days of silver from another environment, then reset landing and bronze."""
+    """Copy the last ``days`` days of silver from another environment, then drop landing, bronze and the ledgers."""
     if target.env == "prod":
         return
     cons = T.scan(spark, source.path("silver.consumption"))
@@ -317,12 +375,9 @@ def refresh(spark: SparkSession, source: Project, target: Project, days: int = 1
         column = None if name == "calendar" else "timestamp_local"
         src = T.scan(spark, source.path(f"silver.{name}"))
         T.overwrite(T.copy_window(src, column, latest, days), target.path(f"silver.{name}"), ["p_day"])
-    for layer in ("landing", "bronze"):
-        for name in FEEDS:
-            path = target.path(f"{layer}.{name}")
-            if T.exists(spark, path):
-                empty = spark.createDataFrame([], T.scan(spark, path).schema)
-                T.overwrite(empty, path)
+    for layer in ("landing", "bronze", "silver"):
+        for name in [*FEEDS, "batches"] if layer != "silver" else ["batches"]:
+            T.drop(spark, target.path(f"{layer}.{name}"))
 
 
 def run_daily(spark: SparkSession, p: Project, feeds: dict[str, DataFrame], now_local: datetime, mode: str = "daily",

@@ -54,8 +54,14 @@ def select(spark: SparkSession, p: Project, data: DataFrame, trigger: str, git_s
         "holdout_mape": f"{best['mape']:.4f}", "trigger": trigger, "git_sha": git_sha, "trained_through": str(through)})
     registry.set_alias("challenger", version)
     champ_mape = None
+
+    def verdict(challenger: float, champion: float | None) -> tuple[bool, str]:
+        row = spark.createDataFrame([(challenger, champion)], "challenger double, champion double")
+        got = decide.promotion(row, p.decisions).first()
+        return got["promote"], got["reason"]
+
     if champion is None:
-        promoted, reason = decide.promote(best["mape"], None, p.decisions)
+        promoted, reason = verdict(best["mape"], None)
     else:
         tag = before["tags"].get("trained_through")
         seen = F.lit(None if tag is None else int(tag)).cast("int")
@@ -67,7 +73,7 @@ def select(spark: SparkSession, p: Project, data: DataFrame, trigger: str, git_s
             both = {r["family"]: r["mape"] for r in board(
                 spark, {"champion": champion, "challenger": fitted[best["family"]]}, fresh)}
             champ_mape = both["champion"]
-            promoted, reason = decide.promote(both["challenger"], champ_mape, p.decisions)
+            promoted, reason = verdict(both["challenger"], champ_mape)
     if promoted:
         registry.set_alias("champion", version)
     table = spark.createDataFrame(

@@ -216,7 +216,7 @@ def model_registry(spark, sf):
 def permutation_importance(spark, sf):
     data = frame(spark, sf)
     m = M.fit("ridge_fourier", data, ["series"])
-    groups = {g: M.IMPORTANCE_GROUPS[g] for g in ("lags", "rolling level", "weather forecast")}
+    groups = M.importance_groups()
     res = M.permutation_importance(m, data, ["series", "h"], groups, repeats=2)
     return spark.createDataFrame(res, "feature_group string, mape_rise double")
 

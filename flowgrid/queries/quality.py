@@ -88,11 +88,11 @@ WITH s AS (SELECT min(h // 24) AS a, max(h // 24) AS b FROM v_readings),
 c AS (SELECT greatest((b - a + 1) * 24 - present, 0) AS missing, (b - a + 1) * 24 AS expected FROM
   (SELECT series, count(DISTINCT h) FILTER (reason IS NULL) AS present FROM v_tagged GROUP BY series), s)
 SELECT r.check_name, 'consumption' AS table_name, 'warn' AS severity, count(t.row_id) = 0 AS passed, count(t.row_id) AS failed_rows,
-  CASE WHEN count(t.row_id) = 0 THEN 'ok' ELSE count(t.row_id) || ' row(s) quarantined' END AS detail
+  CASE WHEN count(t.row_id) = 0 THEN 'ok' ELSE count(t.row_id) || ' rows rejected' END AS detail
 FROM {RULES} r LEFT JOIN v_tagged t ON t.reason = r.check_name GROUP BY ALL
 UNION ALL SELECT 'hourly_completeness', 'consumption', 'error', bool_and(missing <= greatest(3, expected * 0.02)),
-  CAST(sum(missing) AS BIGINT), CAST(sum(missing) AS BIGINT) || '/' || CAST(sum(expected) AS BIGINT) || ' hours missing (' ||
-  format('{{:.2f}}', 100.0 * sum(missing) / sum(expected)) || '%, limit 2% or 3h)' FROM c""")
+  CAST(sum(missing) AS BIGINT), CAST(sum(missing) AS BIGINT) || ' of ' || CAST(sum(expected) AS BIGINT) || ' hours lack a clean reading: ' ||
+  format('{{:.2f}}', 100.0 * sum(missing) / sum(expected)) || '%; allowed 2% or 3 hours' FROM c""")
 def dq_check_results(spark, sf):
     tagged = tagged_readings(spark, sf)
     per = Q.completeness(I.readings(spark, sf), Q.clean_rows(tagged), ["series"], "h", LIMITS)

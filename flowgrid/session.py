@@ -21,11 +21,14 @@ def local_session(cores: str | int = "*", partitions: int = 8, memory: str = "8g
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the checkpoint directory the cluster names; a local one only where none is set."""
+    """A fresh folder under the checkpoint directory that the cluster names. Only a session on this machine alone may
+    use a temporary folder of its own; elsewhere other machines could not read it."""
     import uuid
 
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="flowgrid-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/flowgrid/{name}-{uuid.uuid4().hex}"

@@ -11,6 +11,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from flowgrid.schemas import FEEDS, struct
 
@@ -28,6 +29,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     fs, p = _file_system(spark, path)
     return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isFile())
@@ -98,6 +104,12 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
         *(partition_by or [])).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+    """Write the partitions of ``df``, in place of those with the same names: a repeated step leaves one copy."""
+    (balanced(df, [partition_by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_by).parquet(path))
+
+
 def new_batch_id(end: date) -> str:
     return f"{end:%Y%m%d}-{uuid.uuid4().hex[:8]}"
 
@@ -122,24 +134,35 @@ def merged(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return keep.unionByName(source, allowMissingColumns=True)
 
 
+def struct_union(known: StructType, added: StructType) -> StructType:
+    """The columns of a table and those that a batch adds; a column of both has the batch's type."""
+    kinds = {f.name: f for f in added.fields}
+    return StructType([StructField(f.name, kinds.pop(f.name, f).dataType) for f in known.fields] + list(kinds.values()))
+
+
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: list[str], partition_by: str) -> bool:
     """Upsert into a parquet table partitioned by ``partition_by``, which must be a function of the key.
 
     The batch is written out once, so its plan runs once however often it is used below. Only the partitions it touches
-    are read and rewritten: their distinct values are days, bounded by the calendar, and the semi join on them prunes
-    folders at run time. Returns False when the batch is empty.
+    are read and rewritten; the semi join on them prunes folders at run time, and its side is broadcast only if the
+    values are days, which the calendar bounds. Two rows of a batch with one key raise. Both sides are read with their
+    declared columns; a column that only the batch has is added as null. Returns False when the batch is empty.
     """
     stage = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
     overwrite(source, f"{stage}/batch")
     batch = spark.read.schema(source.schema).parquet(f"{stage}/batch")
     some = not batch.isEmpty()
+    if some and not duplicate_keys(batch, keys).isEmpty():
+        raise ValueError(f"the batch holds several rows for one key ({', '.join(keys)})")
     if some and not exists(spark, path):
         append(batch, path, [partition_by])
     elif some:
-        target = spark.read.option("mergeSchema", True).parquet(path)
-        kind = dict(source.dtypes)[partition_by]
-        target = target.withColumn(partition_by, F.col(partition_by).cast(kind))
-        touched = target.join(F.broadcast(batch.select(partition_by).distinct()), partition_by, "left_semi")
+        known = spark.read.parquet(path).schema
+        wider = struct_union(known, source.schema)
+        target = spark.read.schema(wider).parquet(path)
+        parts = batch.select(partition_by).distinct()
+        days = parts.where(F.col(partition_by).cast("string").try_cast("date").isNull()).isEmpty()
+        touched = target.join(F.broadcast(parts) if days else parts, partition_by, "left_semi")
         overwrite(merged(touched, batch, keys), f"{stage}/merged")
         (balanced(spark.read.parquet(f"{stage}/merged"), [partition_by]).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))

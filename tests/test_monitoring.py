@@ -52,9 +52,9 @@ def test_fair_window(spark):
 @pytest.mark.parametrize("new,old,want", [(5.0, None, True), (20.0, None, False), (4.90, 5.00, True), (4.97, 5.00, False),
                                           (5.20, 5.00, False)])
 def test_promotion_rules_agree(spark, new, old, want):
-    assert D.promote(new, old)[0] is want
-    df = spark.createDataFrame([(new, old)], "n double, o double")
-    assert df.select(D.promote_column(F.col("n"), F.col("o"))).first()[0] is want
+    df = spark.createDataFrame([(new, old)], "challenger double, champion double")
+    got = D.promotion(df).first()
+    assert got["promote"] is want and f"{new:.3f}" in got["reason"]
 
 
 @pytest.mark.parametrize("mapes,base,want", [([4, 7, 7, 7], 5.0, True), ([7, 7, 4, 7], 5.0, False), ([7, 7], 5.0, False),
@@ -64,16 +64,28 @@ def test_retrain(spark, mapes, base, want):
     assert D.needs_retrain(df, ["k"], F.lit(base).cast("double")).first()["retrain"] is want
 
 
-def test_clock():
-    assert L.local_now("Asia/Dubai", datetime(2026, 9, 22, 21, 30)) == datetime(2026, 9, 23, 1, 30)
-    today = date(2026, 9, 23)
-    assert [L.next_day(date(2026, 9, d), today) for d in (19, 21, 22, 23)] == [date(2026, 9, 20), date(2026, 9, 22), None, None]
-    with pytest.raises(ValueError, match="setup"):
-        L.next_day(None, today)
-    assert L.backfill_end(date(2026, 9, 19), today) == date(2026, 9, 19)
-    assert L.backfill_end(date(2030, 1, 1), today) == date(2026, 9, 22)
-    assert L.is_fresh(date(2026, 9, 22), today) and not L.is_fresh(date(2026, 9, 21), today) and not L.is_fresh(None, today)
-    assert L.plan("backfill", date(2026, 1, 1), today, date(2026, 1, 1), date(2026, 9, 19)) is None
+def day(*d):
+    return (date(*d) - date(1970, 1, 1)).days
+
+
+@pytest.mark.parametrize("landed,history,want", [
+    ([day(2026, 9, 19)], None, (day(2026, 9, 20), day(2026, 9, 22))), ([day(2026, 9, 21)], None, (day(2026, 9, 22), day(2026, 9, 22))),
+    ([day(2026, 9, 22)], None, None), ([day(2026, 9, 23)], None, None), ([day(2026, 9, 20), day(2026, 9, 21)], None, (day(2026, 9, 22),) * 2),
+    ([], None, None), ([], (day(2026, 1, 1), day(2026, 9, 19)), (day(2026, 1, 1), day(2026, 9, 19))),
+    ([], (day(2026, 1, 1), day(2030, 1, 1)), (day(2026, 1, 1), day(2026, 9, 22))), ([day(2026, 1, 1)], (day(2026, 1, 1), day(2026, 9, 19)), None)])
+def test_due_days(spark, landed, history, want):
+    df = spark.createDataFrame([(d,) for d in landed], "high_water int")
+    r = L.due_days(df, F.lit(day(2026, 9, 23)), history).first()
+    assert (None if r["first_day"] is None else (r["first_day"], r["last_day"])) == want
+    assert r["high_water"] == max(landed, default=None)
+
+
+@pytest.mark.parametrize("latest,fresh", [(day(2026, 9, 22), True), (day(2026, 9, 21), False), (None, False)])
+def test_freshness(spark, latest, fresh):
+    from flowgrid.operators.quality import freshness
+
+    one = spark.range(1).select(freshness(F.lit(latest).cast("int"), F.lit(day(2026, 9, 23)))).first()[0]
+    assert one is fresh
 
 
 def test_zone_column(spark):

@@ -44,7 +44,8 @@ def test_upsert(spark, tmp_path):
     assert T.upsert(spark, a, path, ["k"], "p")
     for _ in range(2):  # running it again changes nothing
         assert T.upsert(spark, b, path, ["k"], "p")
-        got = {r["k"]: (r["v"], r["note"]) for r in spark.read.option("mergeSchema", True).parquet(path).collect()}
+        known = T.struct_union(a.schema, b.schema)
+        got = {r["k"]: (r["v"], r["note"]) for r in spark.read.schema(known).parquet(path).collect()}
         assert got == {1: (1.0, None), 2: (20.0, "n"), 3: (3.0, None), 4: (4.0, "n")}
     assert not T.upsert(spark, b.where("k > 99"), path, ["k"], "p")
 
@@ -105,3 +106,51 @@ def test_pipeline_end_to_end(spark, raw, tmp_path):
     P.refresh(spark, p, dev, 10)
     days = spark.read.parquet(dev.path("silver.consumption")).select("p_day").distinct().count()
     assert days == 11
+
+
+def test_the_last_of_many_versions_in_one_batch_survives(spark, tmp_path):
+    from flowgrid.operators import quality
+
+    rows = [(7, float(i), i) for i in range(14)]
+    df = spark.createDataFrame(rows, "h int, v double, _row_id long").withColumn("_ingested_at", F.lit("2026-01-01").cast("timestamp"))
+    kept = quality.clean_rows(quality.tag(df, ["h"], "_row_id", ["_ingested_at"], ["v"], "v", -1, 99)).collect()
+    assert [r["v"] for r in kept] == [13.0]
+
+
+def test_a_gate_killed_between_feeds_loses_nothing(spark, raw, tmp_path, monkeypatch):
+    p = project(tmp_path)
+    P.land(spark, p, raw, "backfill", datetime(2025, 5, 8, 9))
+    P.ingest_bronze(spark, p)
+    real, done = T.upsert, []
+
+    def dies(spark, source, path, keys, by):
+        if done:
+            raise RuntimeError("killed")
+        done.append(path)
+        return real(spark, source, path, keys, by)
+
+    monkeypatch.setattr(T, "upsert", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        P.quality_gate(spark, p, "r", date(2025, 5, 8))
+    monkeypatch.setattr(T, "upsert", real)
+    P.ingest_bronze(spark, p)  # nothing new
+    assert P.quality_gate(spark, p, "r", date(2025, 5, 8))
+    for name in ("consumption", "weather_obs", "weather_fcst", "calendar"):
+        assert not P.read(spark, p, f"silver.{name}").isEmpty()
+    assert P.pending(spark, p, "bronze", "silver").isEmpty()
+    plan = P.of_batches(P.read(spark, p, "bronze.consumption"), ["x"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_batch_id" in plan.replace("isnotnull(_batch_id", "_batch_id") or "_batch_id" in plan.split("PartitionFilters")[1][:60]
+
+
+def test_a_series_without_features_is_reported(spark):
+    x = spark.createDataFrame([("a", datetime(2025, 5, 1, h)) for h in range(24)], "k string, target_ts timestamp_ntz")
+    known = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    got = P.incomplete_days(x, ["k"], date(2025, 5, 1), date(2025, 5, 2), 24, known).collect()
+    assert {(r["k"], str(r["day"]), r["rows"]) for r in got} == {
+        ("a", "2025-05-02", 0), *(((k, f"2025-05-0{d}", 0)) for k in ("b", None) for d in (1, 2))}
+
+
+def test_upsert_rejects_two_rows_of_one_key(spark, tmp_path):
+    twice = spark.createDataFrame([(1, "2025-01-01", 1.0), (1, "2025-01-01", 2.0)], "k int, p string, v double")
+    with pytest.raises(ValueError, match="several rows"):
+        T.upsert(spark, twice, str(tmp_path / "t"), ["k"], "p")
