@@ -20,6 +20,7 @@ from flowgrid import config as C
 from flowgrid.functions.timefns import day_of_hour
 from flowgrid.operators.features import FEATURES, LEVEL_FEATURES, MODEL_COLUMNS, TREND_FEATURE
 from flowgrid.operators.series import attach
+from flowgrid.session import shared_folder
 
 # Raw integers a linear model must not see.
 LINEAR_EXCLUDE = ("hour", "day_of_week", "month", TREND_FEATURE)
@@ -40,7 +41,9 @@ TREND_TERMS = ["one", "t", "s1", "c1", "s2", "c2"]
 
 def growth_trend(df: DataFrame, keys: list[str], t: str = TREND_FEATURE, y: str = "y",
                  least_days: int = C.MIN_GROWTH_DAYS) -> DataFrame:
-    """keys, intercept, slope of ln(daily mean) on t with two annual harmonics; slope 0 on short histories.
+    """keys, intercept, slope of ln(daily mean) on t with two annual harmonics; slope 0 on histories shorter than
+    ``least_days`` or with fewer days than terms. Days that do not tell the terms apart get the least-squares solution
+    of smallest norm.
 
     All series at once: the normal equations are plain sums (t is shifted by the series mean and scaled to years so
     that they stay well conditioned), and only the 6 x 6 system of a series reaches Python.
@@ -55,7 +58,7 @@ def growth_trend(df: DataFrame, keys: list[str], t: str = TREND_FEATURE, y: str
     names = list(terms)
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
     sums = d.groupBy(*keys).agg(F.first("_mid").alias("_mid"), F.first("_span").alias("_span"),
-                                F.avg("ly").alias("_mean"),
+                                F.avg("ly").alias("_mean"), F.count("ly").alias("_days"),
                                 *[F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}") for a, b in pairs])
 
     def solve(batches):
@@ -67,9 +70,9 @@ def growth_trend(df: DataFrame, keys: list[str], t: str = TREND_FEATURE, y: str
                 for j, q in enumerate(TREND_TERMS):
                     a[:, i, j] = pdf[f"{p}_{q}"] if f"{p}_{q}" in pdf else pdf[f"{q}_{p}"]
             slope, icept = np.zeros(len(pdf)), pdf["_mean"].to_numpy(float).copy()
-            long = pdf["_span"].to_numpy(float) >= least_days
+            long = (pdf["_span"].to_numpy(float) >= least_days) & (pdf["_days"].to_numpy() >= len(TREND_TERMS))
             if long.any():
-                beta = np.linalg.solve(a[long], b[long][..., None])[..., 0]
+                beta = (np.linalg.pinv(a[long], rcond=1e-12, hermitian=True) @ b[long][..., None])[..., 0]
                 slope[long] = beta[:, 1] / YEAR
                 icept[long] = beta[:, 0] - slope[long] * pdf["_mid"].to_numpy(float)[long]
             yield pdf[keys].assign(intercept=icept, slope=slope)
@@ -114,7 +117,7 @@ def filled(columns: list[str]) -> list[str]:
 
 
 def ridge(df: DataFrame, columns: list[str], label: str, alpha: float = 1.0, interactions: bool = False,
-          rank_error: float = 0.001) -> PipelineModel:
+          rank_error: float = 0.0) -> PipelineModel:
     """Median impute -> standardise -> ridge; optionally with hour one-hots and hour x (day off, Ramadan, cooling).
 
     Columns that are null throughout carry nothing and are left out.
@@ -144,7 +147,7 @@ def design(df: DataFrame) -> DataFrame:
 
 # ---- trees -----------------------------------------------------------------------------------------------------
 def trees(df: DataFrame, columns: list[str], label: str, kind: str = "gbt", params: dict | None = None,
-          rank_error: float = 0.001) -> PipelineModel:
+          rank_error: float = 0.0) -> PipelineModel:
     """Gradient-boosted trees or a random forest on imputed features."""
     seen = df.agg(*[F.count(c).alias(c) for c in columns]).first()
     base = [c for c in columns if c != TREND_FEATURE and seen[c]]
@@ -205,7 +208,7 @@ FAMILIES = ("seasonal_naive_168", "seasonal_naive_48", "ridge_fourier", "gbt", "
 
 
 def fit(family: str, df: DataFrame, keys: list[str], label: str = "y", ridge_alpha: float = 1.0,
-        gbt: dict | None = None, columns: list[str] | None = None, rank_error: float = 0.001) -> Fitted:
+        gbt: dict | None = None, columns: list[str] | None = None, rank_error: float = 0.0) -> Fitted:
     """Fit a family by name on a feature frame with a label; an unknown name raises."""
     columns = columns or MODEL_COLUMNS
     if family in ("seasonal_naive_168", "seasonal_naive_48"):
@@ -216,7 +219,10 @@ def fit(family: str, df: DataFrame, keys: list[str], label: str = "y", ridge_alp
     if family == "gbt":
         return Fitted(family, keys, {"gbt": trees(df, columns, label, "gbt", gbt, rank_error)})
     if family in ("gbt_trend", "ridge_interactions", "blend_ridge_gbt", "random_forest_trend"):
-        trend = growth_trend(df.withColumnRenamed(label, "y"), keys).cache()
+        trend = growth_trend(df.withColumnRenamed(label, "y"), keys)
+        path = shared_folder(df.sparkSession, "trend")  # a row per series, read again by every prediction
+        trend.write.parquet(path)
+        trend = df.sparkSession.read.schema(trend.schema).parquet(path)
         z = normalise(df, trend, keys, label).cache()
         parts = {}
         if family in ("gbt_trend", "blend_ridge_gbt"):
@@ -230,22 +236,24 @@ def fit(family: str, df: DataFrame, keys: list[str], label: str = "y", ridge_alp
     raise ValueError(f"unknown model family {family!r}")
 
 
-def permute_group(df: DataFrame, row_id: list[str], columns: list[str], seed: int, buckets: int = 512) -> DataFrame:
+def permute_group(df: DataFrame, row_id: list[str], columns: list[str], seed: int, bucket_rows: int = 20_000) -> DataFrame:
     """Shuffle a group of columns jointly between rows, without a global sort.
 
     Rows are numbered twice inside hash buckets - once by row id, once by a seeded hash - and the k-th row of one
     order takes the columns of the k-th row of the other. The two bucket assignments use independent hashes of the
-    row id; bucket sizes differ, so ranks are made global with the offsets of the (few) buckets.
+    row id; bucket sizes differ, so ranks are made global with the offsets of the buckets, one row for ``bucket_rows``.
     """
     from pyspark.sql import Window
 
+    buckets = -(-df.count() // bucket_rows) or 1
+
     def ranked(tag: str, side: DataFrame, salt: int) -> DataFrame:
         h = F.xxhash64(*row_id, F.lit(salt))
         b = side.withColumn("_h", h).withColumn("_b", F.pmod(h, F.lit(buckets)))
         size = b.groupBy("_b").agg(F.count("*").alias("_n"))
         off = size.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_off"))
         rn = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *row_id))
-        return b.withColumn("_rn", rn).join(F.broadcast(off), "_b").withColumn("_k", F.col("_rn") + F.col("_off")).drop(
+        return b.withColumn("_rn", rn).join(off, "_b").withColumn("_k", F.col("_rn") + F.col("_off")).drop(
             "_h", "_b", "_rn", "_off")
 
     left = ranked("a", df.drop(*columns), seed * 2 + 1)

@@ -12,6 +12,7 @@ A series may be one hot key holding a third of all rows, so nothing here puts a
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,9 +27,14 @@ Frame = tuple[int, int, Callable]
 
 
 def attach(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
-    """Add the columns of a one-row-per-key summary. Without keys the single row enters as a scalar subquery."""
+    """Add the columns of a one-row-per-key summary. Without keys the single row enters as a scalar subquery.
+
+    A null key is a key like any other. Rows whose key has no summary are left out.
+    """
     if keys:
-        return df.join(per_key, keys)
+        other = per_key.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+        return df.join(other, same).drop(*[f"_of_{k}" for k in keys])
     names = per_key.columns
     row = per_key.select(F.struct(*names)).scalar()
     return df.withColumn("_row", row).select(*df.columns, *[F.col("_row")[n].alias(n) for n in names])
@@ -194,7 +200,8 @@ def rolling(df: DataFrame, keys: list[str], pos: str, value: str, width: int, sh
 
 
 def latest_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the last by ``order``. An aggregate, so hot keys combine map-side and nothing is sorted."""
+    """One row per key: the last by ``order``. An aggregate: hot keys combine map-side. A struct is not of fixed
+    width, so the aggregate sorts within its partitions; the rows of a key never meet unreduced."""
     rest = [c for c in df.columns if c not in keys]
     best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
@@ -205,7 +212,7 @@ def autocovariance(df: DataFrame, keys: list[str], pos: str, value: str, max_lag
     """Sums of x[t] * x[t+k] for k = 0..max_lag per series -> keys, lag, cross, pairs.
 
     Each chunk carries ``max_lag`` positions of its successor, so a task holds chunk + max_lag numbers whatever the
-    length of the series, and emits one row per lag.
+    length of the series, and emits one row per lag. Two values at one position raise.
     """
     import numpy as np
     import pandas as pd
@@ -219,6 +226,8 @@ def autocovariance(df: DataFrame, keys: list[str], pos: str, value: str, max_lag
         start = int(pdf["_chunk"].iloc[0]) * chunk
         x, have = np.zeros(chunk + max_lag), np.zeros(chunk + max_lag)
         at = (pdf["_p"].to_numpy() - start).astype(int)
+        if len(np.unique(at)) < len(at):
+            raise ValueError("a position holds several values; aggregate the series first")
         x[at], have[at] = pdf["_x"].to_numpy(), 1.0
         lags = np.arange(max_lag + 1)
         own, own_have = x[:chunk], have[:chunk]

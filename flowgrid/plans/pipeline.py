@@ -298,11 +298,11 @@ def incomplete_days(df: DataFrame, keys: list[str], first: date, last: date, hor
     return owed.join(have, same, "left").select(*[owed[c] for c in [*keys, "day"]], rows.alias("rows")).where(F.col("rows") != horizon)
 
 
-def forecast_rows(scored: DataFrame, keys: list[str], issue_hour: int = 5) -> DataFrame:
-    """Clip at zero, round to 3 digits, stamp with the issue time each day would have had."""
+def forecast_rows(scored: DataFrame, keys: list[str], issue_hour: int = 5, digits: int | None = 3) -> DataFrame:
+    """Clip at zero, round (not at all without ``digits``), stamp with the issue time each day would have had."""
     p = F.when(F.col("pred").isNotNull(), F.greatest("pred", F.lit(0.0)))
     issued = hour_ts((day_of_hour("h") - 1) * 24 + issue_hour)
-    return scored.select(*keys, hour_ts("h").alias("target_ts"), F.round(p, 3).alias("predicted_m3"),
+    return scored.select(*keys, hour_ts("h").alias("target_ts"), (p if digits is None else F.round(p, digits)).alias("predicted_m3"),
                          issued.alias("issued_at"))
 
 

@@ -193,7 +193,7 @@ def _losses(spark, sf):
     return wide.selectExpr("series", "day", f"stack({len(PAIRS)}, {pairs}) as (pair, loss_a, loss_b)")
 
 
-@query("diebold_mariano", f"""
+DM = """
 WITH l AS (SELECT series, model, h // 24 AS day, avg(abs(pred - y) / y) * 100 AS loss FROM v_pred GROUP BY ALL),
 d AS (SELECT a.series, a.model || ' - ' || b.model AS pair, a.day, a.loss - b.loss AS d FROM l a JOIN l b
   ON a.series = b.series AND a.day = b.day
@@ -202,16 +202,23 @@ c AS (SELECT *, d - avg(d) OVER (PARTITION BY series, pair) AS c, count(*) OVER
   avg(d) OVER (PARTITION BY series, pair) AS m, row_number() OVER (PARTITION BY series, pair ORDER BY day) AS i FROM d),
 v AS (SELECT a.series, a.pair, a.n, a.m, sum(CASE WHEN a.i = b.i THEN a.c * b.c / a.n
     ELSE 2 * (1 - (a.i - b.i) / 8.0) * a.c * b.c / a.n END) AS var
-  FROM c a JOIN c b ON a.series = b.series AND a.pair = b.pair AND a.i - b.i BETWEEN 0 AND 7 GROUP BY ALL)
+  FROM c a JOIN c b ON a.series = b.series AND a.pair = b.pair AND a.i - b.i BETWEEN 0 AND 7 GROUP BY ALL)"""
+HORNER = "".join(f"{c} + t * (" for c in E.ERFC[:-1]) + str(E.ERFC[-1]) + ")" * (len(E.ERFC) - 1)
+
+
+@query("diebold_mariano", f"""{DM}
 SELECT series, pair, n, {R('m', 4)} AS mean_diff, {R('CASE WHEN var > 0 THEN m / sqrt(var / n) END', 4)} AS dm_stat FROM v""")
 def diebold_mariano(spark, sf):
     return out(E.diebold_mariano(_losses(spark, sf), ["series", "pair"]), 4)
 
 
-@query("diebold_mariano_p")
+@query("diebold_mariano_p", f"""
+{DM}, x AS (SELECT series, pair, abs(CASE WHEN var > 0 THEN m / sqrt(var / n) END) / sqrt(2.0) AS x FROM v),
+tx AS (SELECT *, 1 / (1 + x / 2) AS t FROM x)
+SELECT series, pair, {R('t * exp(' + HORNER + ' - x * x)', 4)} AS p_value FROM tx""")
 def diebold_mariano_p(spark, sf):
     dm = E.diebold_mariano(_losses(spark, sf), ["series", "pair"])
-    return dm.withColumn("p_value", E.two_sided_p("dm_stat"))
+    return out(dm.select("series", "pair", E.two_sided_p("dm_stat").alias("p_value")), 4)
 
 
 @query("ablation_ladder", f"""

@@ -66,12 +66,12 @@ def model_ridge_interactions(spark, sf):
 
 @query("model_gbt")
 def model_gbt(spark, sf):
-    return _fit_predict(spark, sf, "gbt", gbt=SMALL_GBT)
+    return _fit_predict(spark, sf, "gbt", gbt=Training().gbt)
 
 
 @query("model_random_forest")
 def model_random_forest(spark, sf):
-    return _fit_predict(spark, sf, "random_forest_trend", gbt={"numTrees": 20, "maxDepth": 5})
+    return _fit_predict(spark, sf, "random_forest_trend", gbt={"maxDepth": 5})
 
 
 def _orthogonal_sql(target: str, others: list[str]) -> str:
@@ -169,28 +169,28 @@ def champion_challenger(spark, sf):
 @query("score_forecast", f"""
 WITH r AS (SELECT max(h // 24) + 1 AS a, max(h // 24) + 2 AS b FROM v_demand),
 t AS (SELECT series, unnest(generate_series(a * 24, b * 24 + 23)) AS h FROM (SELECT DISTINCT series FROM v_demand), r)
-SELECT t.series, {TS('t.h')} AS target_ts, round(greatest(coalesce(a.demand, c.y), 0), 3) AS predicted_m3, {TS('(t.h // 24 - 1) * 24 + 5')} AS issued_at
-FROM t LEFT JOIN v_demand a ON a.series = t.series AND a.h = t.h - 168
-LEFT JOIN (SELECT series, arg_max(demand, h) AS y FROM v_demand GROUP BY series) c ON c.series = t.series""")
+SELECT t.series, {TS('t.h')} AS target_ts, {R('greatest(coalesce(a.demand, (a.demand + b.demand + c.demand) / 3, m.m), 0)', 3)} AS predicted_m3, {TS('(t.h // 24 - 1) * 24 + 5')} AS issued_at
+FROM t LEFT JOIN v_demand a ON a.series = t.series AND a.h = t.h - 168 LEFT JOIN v_demand b ON b.series = t.series AND b.h = t.h - 336
+LEFT JOIN v_demand c ON c.series = t.series AND c.h = t.h - 504, (SELECT avg(demand) AS m FROM v_demand) m""")
 def score_forecast(spark, sf):
     d = I.demand(spark, sf)
     span = d.agg(((F.max(day_of_hour("h")) + 1) * 24).alias("a"))
     tgt = series.attach(d.select("series").distinct(), span, []).select(
         "series", F.explode(F.sequence(F.col("a"), F.col("a") + 47)).alias("h"))
-    last = d.groupBy("series").agg(F.max_by("demand", "h").alias("_last"))
-    x = series.lag_join(tgt, d, ["series"], "h", "demand", {"lag_168h": 168}).join(last, "series")
-    return pipeline.forecast_rows(x.withColumn("pred", F.coalesce("lag_168h", "_last")), ["series"])
+    model = M.fit("seasonal_naive_168", d, ["series"], "demand")
+    scored = model.predict(FE.level_features(tgt, d, ["series"]))
+    return out(pipeline.forecast_rows(scored, ["series"], digits=None), 3)
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    m = M.fit("gbt", frame(spark, sf), ["series"], gbt=SMALL_GBT)
+    m = M.fit("gbt", frame(spark, sf), ["series"], gbt=Training().gbt)
     return spark.createDataFrame(M.importance(m.parts["gbt"])[:20], "feature string, gain double")
 
 
 @query("topk_importance")
 def topk_importance(spark, sf):
-    m = M.fit("random_forest_trend", frame(spark, sf), ["series"], gbt={"numTrees": 10, "maxDepth": 5})
+    m = M.fit("random_forest_trend", frame(spark, sf), ["series"], gbt={"maxDepth": 5})
     return spark.createDataFrame(M.importance(m.parts["forest"])[:15], "feature string, gain double")
 
 
@@ -217,7 +217,7 @@ def permutation_importance(spark, sf):
     data = frame(spark, sf)
     m = M.fit("ridge_fourier", data, ["series"])
     groups = M.importance_groups()
-    res = M.permutation_importance(m, data, ["series", "h"], groups, repeats=2)
+    res = M.permutation_importance(m, data, ["series", "h"], groups)
     return spark.createDataFrame(res, "feature_group string, mape_rise double")
 
 
@@ -363,7 +363,7 @@ def stream_repeats(spark, sf):
 
 
 @query("stream_hourly", f"""
-SELECT series, {TS('h')} AS ts, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total, count(*) AS n FROM v_ev
+SELECT series, {TS('h')} AS ts, CAST(sum(CAST(value AS DECIMAL(28,9))) AS DOUBLE) AS total, count(*) AS n FROM v_ev
 GROUP BY series, h HAVING {TS('h + 1')} <= (SELECT date_trunc('second', max(ts)) - INTERVAL 1 HOUR FROM events)""")
 def stream_hourly(spark, sf):
     from flowgrid.streaming import streams
@@ -377,18 +377,21 @@ def stream_hourly(spark, sf):
 @query("stream_gate", """
 SELECT coalesce(reason, 'clean') AS outcome, count(*) AS n FROM v_tagged GROUP BY ALL""")
 def stream_gate(spark, sf):
+    """The gate over three micro-batches that split every hour between them."""
     from flowgrid.operators import quality
     from flowgrid.streaming import streams
 
     root = shared_folder(spark, "gate")
-    rows = stream_source(spark, sf).select(
+    rows = spark.read.parquet(f"{sf}/events.parquet").select(
         F.col("event_type").alias("series"), hour_pos("ts").alias("h"), F.col("event_id").alias("row_id"),
-        F.when(F.col("event_id") % 97 != 0, F.col("value")).alias("demand"))
-    streams.gate(spark, rows, f"{root}/_cp", f"{root}/silver", f"{root}/rejected", "consumption",
+        F.when(F.col("event_id") % 97 != 0, F.col("value")).alias("demand"), F.to_date("ts").cast("string").alias("p_day"))
+    for part in range(3):
+        rows.where(F.col("row_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = streams.source(spark, f"{root}/in", ", ".join(f"{n} {t}" for n, t in rows.dtypes), files_per_batch=1)
+    streams.gate(spark, stream, f"{root}/_cp", f"{root}/gated",
                  lambda b: quality.tag(b, ["series", "h"], "row_id", [], ["h", "demand"], "demand", 0.0, 200.0, 3))
-    good = spark.read.parquet(f"{root}/silver").select(F.lit("clean").alias("outcome"))
-    bad = spark.read.parquet(f"{root}/rejected").select(F.col("reason").alias("outcome"))
-    return good.unionByName(bad).groupBy("outcome").agg(F.count("*").alias("n"))
+    return spark.read.parquet(f"{root}/gated").groupBy(F.coalesce("reason", F.lit("clean")).alias("outcome")).agg(
+        F.count("*").alias("n"))
 
 
 @query("late_corrections", f"""

@@ -104,10 +104,10 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
         *(partition_by or [])).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+def replace_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
     """Write the partitions of ``df``, in place of those with the same names: a repeated step leaves one copy."""
-    (balanced(df, [partition_by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_by).parquet(path))
+    (balanced(df, list(partition_by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def new_batch_id(end: date) -> str:

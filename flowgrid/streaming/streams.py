@@ -7,12 +7,12 @@ folder on shared storage, so a restarted query continues where the lost one stop
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgrid.functions.timefns import hour_ts, utc_instant
-from flowgrid.operators import quality
 from flowgrid.operators.series import latest_wins
 from flowgrid.sources import tables as T
 
@@ -61,25 +61,37 @@ def latest_version(spark: SparkSession, stream: DataFrame, checkpoint: str, path
     run(stream, checkpoint, each=each, mode="update")
 
 
-def hourly(stream: DataFrame, keys: list[str], ts: str, value: str, delay: str = "1 hour") -> DataFrame:
-    """Closed hourly windows per series; a window is final once the watermark has passed its end."""
+def hourly(stream: DataFrame, keys: list[str], ts: str, value: str, delay: str = "1 hour",
+           kind: str = "decimal(28,9)") -> DataFrame:
+    """Closed hourly windows per series; a window is final once the watermark has passed its end. Values are added as
+    ``kind``, so that the order of arrival cannot change a sum."""
     timed = stream.withColumn("_at", utc_instant(ts)).withWatermark("_at", delay)
     closed = timed.groupBy(F.window("_at", "1 hour"), *keys).agg(
-        F.sum(F.col(value).cast("decimal(12,2)")).alias("total"), F.count("*").alias("n"))
+        F.sum(F.col(value).cast(kind)).alias("total"), F.count("*").alias("n"))
     start = hour_ts(F.floor(F.unix_seconds("window.start") / 3600).cast("int"))
     return closed.select(*keys, start.alias("ts"), F.col("total").cast("double").alias("total"), "n")
 
 
-def gate(spark: SparkSession, stream: DataFrame, checkpoint: str, silver: str, rejected: str, table: str,
-         tag: Callable[[DataFrame], DataFrame], accept: Callable[[DataFrame], bool] = lambda _: True) -> None:
-    """Row rules split each micro-batch into two sinks; the batch verdict decides whether silver is written.
+def gate(spark: SparkSession, stream: DataFrame, checkpoint: str, path: str, tag: Callable[[DataFrame], DataFrame],
+         day: str = "p_day", reach: int = 1, accept: Callable[[DataFrame], bool] = lambda _: True) -> None:
+    """Row rules over a stream, with the outcome that one batch would have, however the input is split.
 
-    Output goes to a folder per micro-batch, so replaying one after a failure rewrites it instead of adding to it.
+    Micro-batches are kept by day and batch. Each one tags again the days it touches and ``reach`` days around them,
+    read from what has been kept so far, and replaces those days of the table at ``path``, where ``reason`` is null
+    for clean rows. Duplicates and stuck runs across micro-batches thus count, and a replayed one changes nothing. When
+    ``accept`` refuses, the days stay as they were until a later batch touches them.
     """
+    kept = f"{path.rstrip('/')}__kept"
+
     def each(batch: DataFrame, epoch: int) -> None:
-        tagged = tag(batch).persist()
-        T.overwrite(quality.quarantine(tagged, table), f"{rejected}/epoch={epoch}")
+        T.replace_partitions(batch.withColumn("_epoch", F.lit(epoch)), kept, day, "_epoch")
+        days = [r[0] for r in batch.select(F.to_date(day)).distinct().collect()]  # bounded by the calendar
+        if not days:
+            return
+        near = lambda k: [str(d + timedelta(days=i)) for d in days for i in range(-k, k + 1)]
+        rows = spark.read.schema(batch.schema).parquet(kept).select(*batch.columns).where(F.col(day).isin(near(2 * reach)))
+        tagged = tag(rows).where(F.col(day).isin(near(reach))).persist()
         if accept(tagged):
-            T.overwrite(quality.clean_rows(tagged), f"{silver}/epoch={epoch}")
+            T.replace_partitions(tagged, path, day)
         tagged.unpersist()
     run(stream, checkpoint, each=each)

@@ -131,3 +131,19 @@ def test_diebold_mariano(spark):
     var = c @ c / 60 + 2 * sum((1 - k / 8) * (c[k:] @ c[:-k]) / 60 for k in range(1, 8))
     stat = d.mean() / math.sqrt(var / 60)
     assert got["dm_stat"] == pytest.approx(stat) and got["p"] == pytest.approx(math.erfc(abs(stat) / math.sqrt(2)))
+
+
+def test_growth_trend_of_thin_series(spark):
+    """Two far days, one day and a constant long series: no error; slope 0 where the days cannot tell the terms."""
+    rows = [("two", 0.0, 10.0), ("two", 1461.0, 20.0), ("one", 5.0, 7.0), *[("flat", float(t), 5.0) for t in range(900)]]
+    got = {r["k"]: r for r in M.growth_trend(spark.createDataFrame(rows, "k string, t_days double, y double"), ["k"]).collect()}
+    assert got["two"]["slope"] == 0 and got["one"]["slope"] == 0 and abs(got["flat"]["slope"]) < 1e-9
+    assert got["one"]["intercept"] == pytest.approx(math.log(7)) and got["flat"]["intercept"] == pytest.approx(math.log(5))
+    same = [("same", 0.0 + 365.25 * i, 3.0 + i) for i in range(7)]  # the waves are constant on these days
+    few = M.growth_trend(spark.createDataFrame(same, "k string, t_days double, y double"), ["k"]).first()
+    assert math.isfinite(few["slope"]) and few["slope"] > 0
+
+
+def test_summaries_keep_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, 2.0, 3.0), ("a", 1, 2.0, 1.0)], "k string, h int, y double, pred double")
+    assert {r["k"] for r in E.metrics(df, ["k"]).collect()} == {None, "a"}
