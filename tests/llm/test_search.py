@@ -161,7 +161,7 @@ def test_top_k_equals_brute_force(spark, rows):
     vectors = [(i, [float(x) for x in r.normal(0, 0.3, 12)]) for i in range(260)]
     vectors += [(300 + i, vectors[0][1]) for i in range(30)]  # ties
     vectors += [(400, None), (401, [None] * 12), (402, [float("nan")] * 12), (403, [float("inf")] * 12), (None, vectors[1][1]), (404, []),
-                (420, [1.0, -2.0]), (20, vectors[20][1]), (441, [1e9] * 12), (460, [-1e9] * 12)]
+                (420, [1.0, -2.0]), (20, vectors[20][1]), (441, [1e7] * 12), (460, [-1e7] * 12)]
     df = spark.createDataFrame([(i, v, "q", 1) for i, v in vectors], "vec_id long, embedding array<double>, query_id string, score int")
     got = sorted(tuple(x) for x in maxscore.top_k(df, 20, 20, 64, rows).collect())
     assert got == best(vectors, 20, 20)
