@@ -6,6 +6,8 @@ and ``model``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,6 +82,54 @@ def monthly_folds(df: DataFrame, ts: Column) -> DataFrame:
     return df.withColumn("fold", F.trunc(ts.cast("date"), "month"))
 
 
+def refit_backtest(df: DataFrame, day: str, label: str, columns: list[str], alpha: float = 1.0, gap_days: int = 1,
+                   least: int = 60) -> DataFrame:
+    """``df`` (day number, label, features) with ``fold`` (first of the calendar month) and ``pred`` of a ridge that is
+    fitted anew for every fold on all rows up to ``gap_days`` before it.
+
+    Features are standardised on the training rows of the fold. A fit needs only sums of products, so the rows are added
+    up once, by the first fold that may learn from them; running totals over months (one row each) are the training
+    sums of every fold, and small systems are all that is solved outside the engine. Folds with fewer than ``least``
+    training rows, and rows with a missing feature, get no prediction.
+    """
+    import numpy as np
+
+    names = [*columns, label]
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:] if a != label]
+    date = F.date_add(F.lit("1970-01-01").cast("date"), F.col(day).cast("int"))
+    whole = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in names]))
+    first = F.add_months(F.trunc(F.date_add(date, gap_days), "month"), 1)  # the first month that starts after the gap
+    sums = whole.groupBy(first.alias("fold")).agg(F.count("*").alias("n"), *[F.sum(c).alias(f"s_{c}") for c in names], *[
+        F.sum(F.col(a).cast("double") * F.col(b)).alias(f"p_{a}_{b}") for a, b in pairs])
+    months = df.select(F.trunc(date, "month").alias("fold")).distinct().join(sums, "fold", "full")
+    so_far = Window.orderBy("fold").rowsBetween(Window.unboundedPreceding, 0)  # a row per month
+    total = months.select("fold", *[F.sum(F.col(c).cast("double")).over(so_far).alias(c) for c in sums.columns if c != "fold"])
+    out = [f"w_{c}" for c in columns]
+
+    def solve(batches):
+        for pdf in batches:
+            pdf = pdf[pdf["n"] >= least].reset_index(drop=True)
+            n = pdf["n"].to_numpy()[:, None]
+            mean = pdf[[f"s_{c}" for c in names]].to_numpy() / n
+            k = len(columns)
+            cov = np.empty((len(pdf), k, k + 1))
+            for a, b in pairs:
+                i, j = names.index(a), names.index(b)
+                cov[:, i, j] = pdf[f"p_{a}_{b}"] / n[:, 0] - mean[:, i] * mean[:, j]
+                if j < k:
+                    cov[:, j, i] = cov[:, i, j]
+            sd = np.sqrt(np.maximum(cov[:, range(k), range(k)], 0))
+            inv = np.divide(1.0, sd, out=np.zeros_like(sd), where=sd > 0)
+            left = n[..., None] * cov[:, :, :k] * inv[:, :, None] * inv[:, None, :] + alpha * np.eye(k)
+            beta = np.linalg.solve(left, (n * cov[:, :, k] * inv)[..., None])[..., 0] * inv
+            yield pdf[["fold"]].assign(w_0=mean[:, k] - (beta * mean[:, :k]).sum(1), **{o: beta[:, i] for i, o in enumerate(out)})
+
+    fits = total.mapInPandas(solve, "fold date, w_0 double, " + ", ".join(f"`{o}` double" for o in out))
+    rows = df.withColumn("fold", F.trunc(date, "month")).join(F.broadcast(fits), "fold", "left")  # a row per month
+    pred = reduce(lambda a, b: a + b, [F.col(o) * F.col(c) for o, c in zip(out, columns)], F.col("w_0"))
+    return rows.withColumn("pred", pred).drop("w_0", *out)
+
+
 def daily_total_ape(df: DataFrame, keys: list[str], day: Column) -> DataFrame:
     """Mean over days of |sum pred - sum y| / sum y."""
     per_day = df.groupBy(*keys, day.alias("_day")).agg(F.sum("pred").alias("p"), F.sum("y").alias("a"))

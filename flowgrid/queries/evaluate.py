@@ -63,6 +63,29 @@ def monthly_backtest(spark, sf):
         F.count("*").alias("n"), E.mape().alias("mape"), E.bias_pct().alias("bias_pct")))
 
 
+@query("refit_backtest", f"""
+WITH w AS MATERIALIZED (SELECT day, y, fold, max(pred) FILTER (model = 'naive_7') AS a, max(pred) FILTER (model = 'mean_3w') AS b
+  FROM v_lpred GROUP BY ALL),
+f AS (SELECT DISTINCT fold FROM w),
+t AS (SELECT f.fold, count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, stddev_pop(a) AS sa, stddev_pop(b) AS sb,
+  covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS by_ FROM f JOIN w ON {DT('w.day')} < f.fold - 1
+  WHERE a IS NOT NULL AND b IS NOT NULL AND y IS NOT NULL GROUP BY f.fold HAVING count(*) >= 60),
+r AS (SELECT *, n * ab / (sa * sb) AS o, n * ay / sa AS ra, n * by_ / sb AS rb, (n + 1.0) * (n + 1.0) - (n * ab / (sa * sb)) ** 2 AS det FROM t),
+c AS (SELECT *, (ra * (n + 1.0) - o * rb) / det / sa AS wa, (rb * (n + 1.0) - o * ra) / det / sb AS wb FROM r),
+p AS (SELECT w.fold, 'ridge' AS model, y, my - wa * ma - wb * mb + wa * a + wb * b AS pred FROM w JOIN c ON c.fold = w.fold
+  UNION ALL SELECT w.fold, 'naive', y, a FROM w JOIN c ON c.fold = w.fold)
+SELECT fold, model, count(pred) AS n, {R('avg(CASE WHEN y > 0 THEN abs(pred - y) / y END) * 100', 4)} AS mape,
+  {R('sum(pred - y) / sum(CASE WHEN pred IS NOT NULL THEN y END) * 100', 4)} AS bias_pct FROM p GROUP BY ALL""")
+def refit_backtest(spark, sf):
+    """Monthly folds, the ridge fitted anew for each one, next to the naive forecast on the same days."""
+    wide = I.long_predictions(spark, sf).groupBy("day", "y").pivot("model", ["naive_7", "mean_3w"]).agg(F.max("pred"))
+    fitted = E.refit_backtest(wide, "day", "y", ["naive_7", "mean_3w"])
+    long = fitted.where(F.col("pred").isNotNull()).select("fold", "y", F.explode(F.array(
+        F.struct(F.lit("ridge").alias("model"), "pred"), F.struct(F.lit("naive").alias("model"), F.col("naive_7").alias("pred")))).alias("m"))
+    return out(long.select("fold", "y", "m.*").groupBy("fold", "model").agg(
+        F.count("pred").alias("n"), E.mape().alias("mape"), E.bias_pct().alias("bias_pct")), 4)
+
+
 @query("daily_total_ape", f"""
 SELECT series, model, {R('avg(abs(p - a) / nullif(a, 0)) * 100')} AS daily_total_ape FROM (
   SELECT series, model, h // 24 AS day, sum(pred) AS p, sum(y) AS a FROM v_pred GROUP BY ALL) GROUP BY ALL""")
