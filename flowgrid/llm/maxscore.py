@@ -86,6 +86,39 @@ def top_of_shard(ids: np.ndarray, postings: np.ndarray, low: np.ndarray, high: n
     return ids[live[best]], score[best]
 
 
+class Layer:
+    """Rows of a shard with different ids, as posting lists in the number types that the scores need."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray):
+        self.ids, self.postings = ids, np.ascontiguousarray(x.T)
+        self.low, self.high = self.postings.min(1, initial=0), self.postings.max(1, initial=0)
+        self.cast: dict[type, np.ndarray] = {}
+
+    def top(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        q = np.pad(q, (0, max(0, len(self.postings) - len(q))))[:len(self.postings)]
+        most = float(np.abs(q).astype(float) @ np.maximum(np.abs(self.low), np.abs(self.high)).astype(float))
+        kind = np.float32 if most < 2**23 else np.float64 if most < 2**52 else np.int64
+        if kind not in self.cast:
+            self.cast[kind] = self.postings.astype(kind)
+        best, score = top_of_shard(self.ids, self.cast[kind], self.low.astype(kind), self.high.astype(kind), q.astype(kind), own, k)
+        return best, score.astype(np.int64)
+
+
+def _layers(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[Layer]:
+    """A shard's rows so that no layer holds an id twice; repeated rows count once. An id's best row is among the best
+    of its layer, so merging the layers' best by id loses nothing."""
+    width = max(p.shape[1] for _, p in parts)
+    ids = np.concatenate([i for i, _ in parts])
+    x = np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for _, p in parts])
+    if len(np.unique(ids)) == len(ids):
+        return [Layer(ids, x)]
+    rows = np.unique(np.column_stack([ids, x]), axis=0)
+    ids, x = rows[:, 0].copy(), rows[:, 1:]
+    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    rank = np.arange(len(ids)) - np.repeat(first, np.diff(np.append(first, len(ids))))
+    return [Layer(ids[rank == r], x[rank == r]) for r in range(int(rank.max()) + 1)]
+
+
 def _searcher(k: int):
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, parts, ready = None, [], None
@@ -101,19 +134,11 @@ def _searcher(k: int):
                 if not parts:
                     continue
                 if ready is None:
-                    width = max(p.shape[1] for _, p in parts)
-                    all_ids = np.concatenate([i for i, _ in parts])
-                    posts = np.ascontiguousarray(np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for _, p in parts]).T)
-                    ready = all_ids, posts, posts.min(1, initial=0), posts.max(1, initial=0), {np.int64: posts}
-                all_ids, posts, low, high, cast = ready
-                for own, q in zip(ids, x, strict=True):
-                    q = np.pad(q, (0, max(0, len(posts) - dims)))[:len(posts)]
-                    most = float(np.abs(q).astype(float) @ np.maximum(np.abs(low), np.abs(high)).astype(float))
-                    kind = np.float32 if most < 2**23 else np.float64 if most < 2**52 else np.int64
-                    if kind not in cast:
-                        cast[kind] = posts.astype(kind)
-                    best, score = top_of_shard(all_ids, cast[kind], low.astype(kind), high.astype(kind), q.astype(kind), own, k)
-                    out.append((np.full(len(best), own), best, score.astype(np.int64)))
+                    ready = _layers(parts)
+                for layer in ready:
+                    for own, q in zip(ids, x, strict=True):
+                        best, score = layer.top(q, own, k)
+                        out.append((np.full(len(best), own), best, score))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)],
                                                  names=["query_id", "vec_id", "score"])
