@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgrid.config import Project
@@ -21,9 +21,12 @@ class Registry:
     def __init__(self, spark: SparkSession, p: Project):
         self.spark, self.root = spark, f"{p.root}/ml/{p.model_name}"
 
-    def _rows(self, name: str, ddl: str) -> list:
+    def _table(self, name: str, ddl: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        return self.spark.read.schema(ddl).parquet(path).collect() if T.exists(self.spark, path) else []
+        return self.spark.read.schema(ddl).parquet(path) if T.exists(self.spark, path) else self.spark.createDataFrame([], ddl)
+
+    def _next(self, name: str, ddl: str, column: str) -> int:
+        return 1 + (self._table(name, ddl).agg(F.max(column)).first()[0] or 0)
 
     def _add(self, name: str, ddl: str, row: dict) -> None:
         one = self.spark.createDataFrame([{**row, "created_at": None}], ddl)
@@ -31,7 +34,7 @@ class Registry:
 
     def register(self, model: Fitted, tags: dict[str, str]) -> int:
         """Save a fitted family and return its new version number."""
-        version = 1 + max((r["version"] for r in self._rows("versions", VERSIONS)), default=0)
+        version = self._next("versions", VERSIONS, "version")
         path = f"{self.root}/models/{version}"
         for name, part in model.parts.items():
             part.write().overwrite().save(f"{path}/{name}")
@@ -43,16 +46,15 @@ class Registry:
         return version
 
     def set_alias(self, alias: str, version: int) -> None:
-        seq = 1 + max((r["seq"] for r in self._rows("aliases", ALIASES)), default=0)
+        seq = self._next("aliases", ALIASES, "seq")
         self._add("aliases", ALIASES, {"alias": alias, "version": version, "seq": seq})
 
     def version(self, alias: str) -> dict | None:
         """The version an alias points to, or None."""
-        hits = [r for r in self._rows("aliases", ALIASES) if r["alias"] == alias]
-        if not hits:
+        number = self._table("aliases", ALIASES).where(F.col("alias") == alias).agg(F.max_by("version", "seq")).first()[0]
+        if number is None:
             return None
-        number = max(hits, key=lambda r: r["seq"])["version"]
-        return next(r.asDict() for r in self._rows("versions", VERSIONS) if r["version"] == number)
+        return self._table("versions", VERSIONS).where(F.col("version") == number).first().asDict()
 
     def load(self, alias: str) -> tuple[Fitted | None, dict | None]:
         v = self.version(alias)
