@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from flowgrid.llm.common import stored, text_key, text_of
 
-STEP, RANK, OVER, ITEMS, SLAB, RARE, SLICE = 32, 160, 32, 5000, 64, 0.01, 1000
+STEP, RANK, OVER, ITEMS, SLAB, RARE, SLICE, PAIRS = 32, 160, 32, 5000, 64, 0.01, 1000, 1 << 22
 MATCH = "doc_id bigint, key struct<a:bigint,b:bigint>, item_id bigint, cosine double, lcs double, answer double, kind string"
 
 
@@ -71,12 +71,17 @@ def _encode(vocabulary: list[str]):
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
-                low = pc.utf8_lower(batch.column(2))
-                split = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.replace_substring_regex(low, r"[^\pL\pN]+", " ")))
-                offsets = split.offsets.to_numpy()
-                each = split.values.slice(offsets[0], offsets[-1] - offsets[0])
-                number = pc.fill_null(pc.index_in(each, value_set=known), -1).to_numpy().astype(np.int32)
-                offsets = offsets - offsets[0]
+                raw = pc.utf8_split_whitespace(pc.utf8_lower(batch.column(2)))
+                coded = raw.values.slice(raw.offsets[0].as_py(), raw.offsets[-1].as_py() - raw.offsets[0].as_py()).dictionary_encode()
+                # words of each distinct string between blanks, then those of every occurrence in turn
+                parts = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(
+                    pc.replace_substring_regex(coded.dictionary, r"[^\pL\pN]+", " ")))
+                word = pc.not_equal(parts.values, "").to_numpy(zero_copy_only=False)  # no word at all splits into one empty
+                ids = pc.fill_null(pc.index_in(parts.values, value_set=known), -1).to_numpy().astype(np.int32)[word]
+                bounds = np.concatenate([[0], np.cumsum(word)])[parts.offsets.to_numpy()].astype(np.int32)
+                each = pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids)).take(coded.indices)
+                number = each.flatten().to_numpy(zero_copy_only=False)
+                offsets = each.offsets.to_numpy()[raw.offsets.to_numpy() - raw.offsets[0].as_py()]
                 hit = np.flatnonzero(number >= 0)
                 cut = np.searchsorted(hit, offsets).astype(np.int32)
                 doc = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
@@ -116,7 +121,8 @@ def _frequencies(terms: int):
             term, pos, doc = _read(batch)
             starts, _, _ = _passages(pos, doc)
             passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(term))))
-            df[:terms] += np.bincount(np.unique(passage * terms + term) % terms, minlength=terms)
+            pair = np.sort(passage * terms + term)
+            df[:terms] += np.bincount(pair[np.diff(pair, prepend=-1) > 0] % terms, minlength=terms)
             df[terms] += len(starts)
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(df)), pa.array(df[df > 0])], names=["term", "df"])
     return run
@@ -127,34 +133,71 @@ def _latent(term: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> np.ndarra
     live = np.flatnonzero(rows.any(1)[term])
     passage = np.searchsorted(starts, live, side="right") - 1
     out = np.zeros((len(starts), rows.shape[1]), rows.dtype)
-    if len(live):
-        first = np.flatnonzero(np.concatenate([[True], np.diff(passage) != 0]))
-        out[passage[first]] = np.add.reduceat(rows[term[live]], first, axis=0)
+    first = np.flatnonzero(np.diff(passage, prepend=-1))
+    rank = np.arange(len(live)) - np.repeat(first, np.diff(np.append(first, len(live))))
+    order = np.argsort(rank, kind="stable")
+    at = 0
+    for n in np.bincount(rank):  # the first term of every passage, then the second, ..
+        part = order[at:at + n]
+        out[passage[part]] += rows[term[live[part]]]
+        at += n
     return out
 
 
+def _pairs(term: np.ndarray, starts: np.ndarray, live: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first * terms + second, count) of the ordered pairs of live terms that share a passage, a term with itself
+    included."""
+    passage = np.searchsorted(starts, live, side="right") - 1
+    t = term[live].astype(np.int64)
+    keys = [t * terms + t]
+    for step in range(1, STEP):
+        same = np.flatnonzero(passage[step:] == passage[:-step])
+        if not len(same):
+            break
+        keys += [t[same] * terms + t[same + step], t[same + step] * terms + t[same]]
+    return _counted(np.concatenate(keys), None)
+
+
+def _counted(keys: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    if counts is None:
+        keys = np.sort(keys)
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        return keys[first], np.diff(np.append(first, len(keys)))
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
 def _sketch(idf: np.ndarray, seed: int, width: int):
-    """Partial sums of A'(A W) by slabs of terms, W random."""
+    """Partial sums of A'(A W) by slabs of terms, W random: the pairs of terms in the task's passages are counted first,
+    as A'A holds no more, and then meet W slab by slab."""
+    terms = len(idf)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        random = np.random.default_rng(seed).standard_normal((len(idf), width)).astype(np.float32)
-        rows, total = random * idf[:, None], np.zeros((len(idf), width))
+        parts, held = [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 term, pos, doc = _read(batch.slice(at, SLICE))
                 starts, _, _ = _passages(pos, doc)
-                if not len(starts):
-                    continue
-                live = np.flatnonzero(idf[term] > 0)
-                by = live[np.argsort(term[live], kind="stable")]
-                passage = np.searchsorted(starts, by, side="right") - 1
-                y = _latent(term, starts, rows)
-                if len(by):
-                    first = np.flatnonzero(np.concatenate([[True], np.diff(term[by]) != 0]))
-                    t = term[by][first]
-                    total[t] += idf[t, None] * np.add.reduceat(y[passage], first, axis=0)
-        used = [s for s in range(0, len(idf), SLAB) if total[s:s + SLAB].any()]
-        yield pa.RecordBatch.from_arrays([pa.array([s // SLAB for s in used], pa.int32()), pa.array(
-            [total[s:s + SLAB].tobytes() for s in used], pa.binary())], names=["slab", "part"])
+                if len(starts):
+                    parts.append(_pairs(term, starts, np.flatnonzero(idf[term] > 0), terms))
+                    held += len(parts[-1][0])
+                if held > PAIRS and len(parts) > 1:
+                    parts = [_counted(*(np.concatenate(c) for c in zip(*parts, strict=True)))]
+                    held = len(parts[0][0])
+        if not parts:
+            return
+        keys, counts = _counted(*(np.concatenate(c) for c in zip(*parts, strict=True)))
+        random = np.random.default_rng(seed).standard_normal((terms, width)).astype(np.float32) * idf[:, None]
+        for slab in range(0, terms, SLAB):
+            lo, hi = np.searchsorted(keys, [slab * terms, (slab + SLAB) * terms])
+            if lo < hi:
+                block = np.zeros((min(SLAB, terms - slab), terms), np.float32)
+                block.ravel()[keys[lo:hi] - slab * terms] = counts[lo:hi]
+                total = (block @ random).astype(np.float64) * idf[slab:slab + SLAB, None]
+                yield pa.RecordBatch.from_arrays([pa.array([slab // SLAB], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                                 names=["slab", "part"])
     return run
 
 
