@@ -99,6 +99,8 @@ VIEWS: dict[str, str] = {
         CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) AS day,
         CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS y FROM orders GROUP BY ALL""",
     "v_lcal": _positive(_calendar("SELECT min(day) AS lo, max(day) AS hi FROM v_daily", 0)),
+    "v_oday": """SELECT o.*, c.* FROM orders o JOIN v_lcal c ON c.day = date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE))""",
+    "v_eday": """SELECT e.event_id, c.* EXCLUDE (event_type), c.event_type AS day_event FROM events e JOIN v_cal c ON c.day = epoch_us(ts) // 86400000000""",
     "v_wide": """SELECT d.series, d.h, d.demand AS y, a.demand AS naive_48, b.demand AS naive_168,
         (b.demand + c.demand + e.demand) / 3 AS mean_3w
       FROM v_demand d JOIN v_demand a ON a.series = d.series AND a.h = d.h - 48

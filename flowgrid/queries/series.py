@@ -273,13 +273,14 @@ def agg_grouped_apply(spark, sf):
 
 @query("agg_first_last_span", f"""
 SELECT ramadan_block, arg_min(holiday_name, day) FILTER (holiday_name IS NOT NULL) AS first_holiday, min(date) AS first_date,
-  max(date) AS last_date, count(*) AS days
-FROM (SELECT *, CAST((day - ramadan_day) AS BIGINT) AS ramadan_block FROM v_lcal WHERE is_ramadan) GROUP BY ALL""")
+  max(date) AS last_date, count(DISTINCT day) AS days, count(*) AS orders
+FROM (SELECT *, CAST((day - ramadan_day) AS BIGINT) AS ramadan_block FROM v_oday WHERE is_ramadan) GROUP BY ALL""")
 def agg_first_last_span(spark, sf):
-    cal = I.long_calendar(spark, sf).where("is_ramadan")
+    cal = I.order_days(spark, sf).where("is_ramadan")
     return cal.groupBy((F.col("day") - F.col("ramadan_day")).cast("bigint").alias("ramadan_block")).agg(
         F.min_by("holiday_name", F.when(F.col("holiday_name").isNotNull(), F.col("day"))).alias("first_holiday"),
-        F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count("*").alias("days"))
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count_distinct("day").alias("days"),
+        F.count("*").alias("orders"))
 
 
 @query("agg_idxmin_counts", """
@@ -391,11 +392,15 @@ def win_diff(spark, sf):
 @query("win_event_blocks", f"""
 WITH e AS (SELECT *, CASE WHEN event_name = lag(event_name) OVER w AND day - lag(day) OVER w = 1 THEN 0 ELSE 1 END AS brk
   FROM v_lcal WHERE event_type IS NOT NULL WINDOW w AS (ORDER BY day)),
-r AS (SELECT *, sum(brk) OVER (ORDER BY day) AS run FROM e)
-SELECT arg_min(event_name, day) AS event, min(date) AS first_date, max(date) AS last_date, count(*) AS days FROM r GROUP BY run""")
+r AS (SELECT *, sum(brk) OVER (ORDER BY day) AS run FROM e),
+b AS (SELECT arg_min(event_name, day) AS event, min(day) AS a, max(day) AS z, min(date) AS first_date, max(date) AS last_date, count(*) AS days FROM r GROUP BY run)
+SELECT event, first_date, last_date, days, count(o_orderkey) AS orders FROM b LEFT JOIN v_oday o ON o.day BETWEEN a AND z GROUP BY ALL""")
 def win_event_blocks(spark, sf):
     b = X.event_blocks(I.long_calendar(spark, sf))
-    return b.select("event", day_date("first_day").alias("first_date"), day_date("last_day").alias("last_date"), "days")
+    per_day = I.order_days(spark, sf).groupBy("day").agg(F.count("*").alias("orders"))
+    days = b.withColumn("day", F.explode(F.sequence("first_day", "last_day"))).join(per_day, "day", "left")
+    return days.groupBy("event", day_date("first_day").alias("first_date"), day_date("last_day").alias("last_date"), "days").agg(
+        F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"))
 
 
 @query("win_last_n_all", """

@@ -202,10 +202,10 @@ SEASON = """CASE WHEN month(date) IN (5, 6, 7, 8, 9) THEN 'summer' WHEN month(da
     ELSE 'shoulder' END"""
 
 
-@query("case_day_type", f"SELECT date, {DAY_TYPE} AS day_type, {EID_TYPE} AS eid_type, {SEASON} AS season FROM v_lcal")
+@query("case_day_type", f"SELECT o_orderkey, {DAY_TYPE} AS day_type, {EID_TYPE} AS eid_type, {SEASON} AS season FROM v_oday")
 def case_day_type(spark, sf):
-    return I.long_calendar(spark, sf).select(
-        "date", explore.day_type().alias("day_type"), explore.day_type(True).alias("eid_type"),
+    return I.order_days(spark, sf).select(
+        "o_orderkey", explore.day_type().alias("day_type"), explore.day_type(True).alias("eid_type"),
         explore.season(F.month("date")).alias("season"))
 
 
@@ -218,23 +218,22 @@ def clip_lower(spark, sf):
 
 
 @query("null_default", """
-SELECT date, coalesce(holiday_name, '') AS holiday_name, coalesce(event_type, 'none') AS event_type,
-  CAST(coalesce(ramadan_day, 0) AS INTEGER) AS ramadan_day FROM v_cal""")
+SELECT event_id, coalesce(holiday_name, '') AS holiday_name, coalesce(day_event, 'none') AS day_event,
+  CAST(coalesce(ramadan_day, 0) AS INTEGER) AS ramadan_day FROM v_eday""")
 def null_default(spark, sf):
-    return I.calendar(spark, sf).select(
-        "date", F.coalesce("holiday_name", F.lit("")).alias("holiday_name"),
-        F.coalesce("event_type", F.lit("none")).alias("event_type"), F.coalesce("ramadan_day", F.lit(0)).alias("ramadan_day"))
+    return I.event_days(spark, sf).select(
+        "event_id", F.coalesce("holiday_name", F.lit("")).alias("holiday_name"),
+        F.coalesce("day_event", F.lit("none")).alias("day_event"), F.coalesce("ramadan_day", F.lit(0)).alias("ramadan_day"))
 
 
 @query("membership_flag", """
-SELECT c.date, CAST(c.is_public_holiday AS INTEGER) AS is_holiday,
+SELECT c.o_orderkey, CAST(c.is_public_holiday AS INTEGER) AS is_holiday,
   CAST(coalesce(n.is_public_holiday, false) AS INTEGER) AS day_before, CAST(coalesce(p.is_public_holiday, false) AS INTEGER) AS day_after
-FROM v_lcal c LEFT JOIN v_lcal n ON n.day = c.day + 1 LEFT JOIN v_lcal p ON p.day = c.day - 1""")
+FROM v_oday c LEFT JOIN v_lcal n ON n.day = c.day + 1 LEFT JOIN v_lcal p ON p.day = c.day - 1""")
 def membership_flag(spark, sf):
-    cal = I.long_calendar(spark, sf)
-    t = features.calendar_table(cal)
-    return cal.select("day", "date").join(t, "day").select(
-        "date", F.col("is_holiday").cast("int"), F.col("day_before_holiday").cast("int").alias("day_before"),
+    t = features.calendar_table(I.long_calendar(spark, sf))
+    return I.order_days(spark, sf).select("o_orderkey", "day").join(F.broadcast(t), "day").select(  # a row per day
+        "o_orderkey", F.col("is_holiday").cast("int"), F.col("day_before_holiday").cast("int").alias("day_before"),
         F.col("day_after_holiday").cast("int").alias("day_after"))
 
 
@@ -306,11 +305,11 @@ def fn_fourier(spark, sf):
 
 
 @query("fn_string_json", """
-SELECT date, coalesce(holiday_name LIKE '%Eid%', false) AS is_eid, (holiday_name IS NULL) AS null_in_json FROM v_cal""")
+SELECT event_id, coalesce(holiday_name LIKE '%Eid%', false) AS is_eid, (holiday_name IS NULL) AS null_in_json FROM v_eday""")
 def fn_string_json(spark, sf):
-    cal = I.calendar(spark, sf)
+    rows = I.event_days(spark, sf)
     js = F.to_json(F.struct("day", "holiday_name"), {"ignoreNullFields": "false"})
-    return cal.select("date", F.coalesce(F.col("holiday_name").contains("Eid"), F.lit(False)).alias("is_eid"),
+    return rows.select("event_id", F.coalesce(F.col("holiday_name").contains("Eid"), F.lit(False)).alias("is_eid"),
                       js.contains('"holiday_name":null').alias("null_in_json"))
 
 

@@ -123,6 +123,18 @@ def long_calendar(spark: SparkSession, sf: str) -> DataFrame:
     return days.select("day", day_date("day").alias("date"), *calendar_rule(F.col("day")))
 
 
+def order_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order with the calendar facts of its day; the calendar is a row per day and is broadcast."""
+    return table(spark, sf, "orders").withColumn("day", day_pos("o_orderdate")).join(
+        F.broadcast(long_calendar(spark, sf)), "day")
+
+
+def event_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event with the calendar facts of its day."""
+    return table(spark, sf, "events").withColumn("day", day_pos("ts")).join(F.broadcast(
+        calendar(spark, sf).withColumnRenamed("event_type", "day_event")), "day")
+
+
 def daily_long(spark: SparkSession, sf: str) -> DataFrame:
     """day, y: mean order value per day over more than six years; one series."""
     return table(spark, sf, "orders").groupBy(day_pos("o_orderdate").alias("day")).agg(
