@@ -95,13 +95,14 @@ def logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 
 def _blocks(batches: Iterable[pa.RecordBatch], fold: int, at: dict[int, int]) -> tuple[list[tuple[np.ndarray, int]], np.ndarray]:
-    rows, place = [], []
+    """Rows of a block in the order of their ids, so that every run descends alike, and their places."""
+    rows = {}
     for batch in batches:
         for doc, label, f, on in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if f == fold:
-                rows.append((np.frombuffer(on, np.int32), 2 * label - 1))
-                place.append(at[doc])
-    return rows, np.array(place, np.int64)
+                rows[at[doc]] = np.frombuffer(on, np.int32), 2 * label - 1
+    place = sorted(rows)
+    return [rows[i] for i in place], np.array(place, np.int64)
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 12000, blocks: int = 8, rounds: int = 6, epochs: int = 2,
@@ -122,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 12000, blocks: int =
     rows = stored(texts.select("doc_id", "label", "fold", "text")
                   .mapInArrow(read, "doc_id bigint, label int, fold int, on binary")
                   .groupBy("doc_id").agg(F.min(F.struct("label", "fold", "on")).alias("r")).select("doc_id", "r.*")
-                  .repartition(blocks, "doc_id"), "quality-rows")
+                  .repartition(blocks, "doc_id").sortWithinPartitions("doc_id"), "quality-rows")
     ids = [r[0] for r in rows.where("fold = 0").select("doc_id").collect()]  # at most fit_rows
     at = {d: i for i, d in enumerate(sorted(ids))}
 
