@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +14,16 @@ from pyspark.sql import functions as F
 from flowgrid.session import shared_folder
 
 
+#: Rows and bytes of text that Python gets at once, so that very long documents do not add up in a worker.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608")}
+
+
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors' Python once per context; they need not share the driver's folders."""
+    """Send the package to the executors' Python once per context; they need not share the driver's folders. Arrow
+    batches that the session has left at their defaults are bounded."""
+    for key, (default, bound) in BATCH.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, bound)
     context = spark.sparkContext
     if getattr(context, "_flowgrid_shipped", False):
         return
@@ -50,6 +59,19 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def gathered(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The rows of small batches in batches of about ``rows``; for columns of a few bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     """The batch with further columns behind its own, whatever those are called."""
     return pa.RecordBatch.from_arrays([*batch.columns, *columns.values()], names=[*batch.schema.names, *columns])

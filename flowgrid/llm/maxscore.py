@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SHARD = 8192
+from flowgrid.llm.common import gathered
+
+SHARD, PACK = 8192, 8192
 PACKED = "shard int, role int, dims int, ids binary, data binary"
 
 
@@ -39,9 +41,7 @@ def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _packer(shards: int, every: int):
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in gathered(batches, PACK):
             ids, x = _matrix(batch)
             home = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(shards)
             asks = ids % every == 0

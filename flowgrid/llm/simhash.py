@@ -30,9 +30,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgrid.llm.common import stored, text_of
+from flowgrid.llm.common import gathered, stored, text_of
 
-SAMPLE, LEAF, BLOCK = 8192, 16384, 1 << 18
+SAMPLE, LEAF, BLOCK, PACK = 8192, 16384, 1 << 18, 1 << 14
 PACKED = "shard int, role int, prints binary, sizes binary"
 
 
@@ -113,11 +113,9 @@ class Tree:
 
 
 def _packer(tree: Tree, bands: np.ndarray, bits: int, radius: int, ratio: float):
-    """Deals fingerprints to (size band, leaf) shards as rows (role 0) and as queries (role 1)."""
+    """Deals fingerprints to (size band, leaf) shards as rows (role 0) and as queries (role 1), PACK at a time."""
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in gathered(batches, PACK):
             x = words_of(b"".join(batch.column(0).to_pylist()), bits)
             size = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             home, band = np.zeros(len(x), np.int64), np.searchsorted(bands, size, side="right")
@@ -151,6 +149,12 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
+def joined(label: np.ndarray, links: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """``label`` after the nodes of the links have been put together."""
+    a, b = (np.concatenate(c) for c in zip(*links, strict=True))
+    return forest(label[a], label[b], len(label))[label]
+
+
 def ring_links(rows: np.ndarray, row_d: np.ndarray, query: np.ndarray, query_d: np.ndarray,
                radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(query, row) numbers within the radius; both sides sorted by distance from the local vantage point."""
@@ -192,26 +196,22 @@ def _linker(bits: int, radius: int, ratio: float):
                 d = distance(x, vantage).astype(np.int64)
                 order = np.argsort(d, kind="stable")
                 x, size, d = x[order], size[order], d[order]
-                found = []
+                label, held, pairs = np.arange(len(rows) + len(x)), [], 0
                 for q, r in ring_links(rows, row_d, x, d, radius):
                     keep = (x[q] != rows[r]).any(1)
                     if ratio:
                         keep &= np.minimum(size[q], row_size[r]) >= ratio * np.maximum(size[q], row_size[r])
-                    if keep.any():
-                        found.append((q[keep], r[keep]))
-                if not found:
-                    continue
-                q, r = (np.concatenate(c) for c in zip(*found, strict=True))
-                nodes = np.unique(np.concatenate([x[np.unique(q)], rows[np.unique(r)]]), axis=0)
-                keys = nodes.astype(">u8").view(f"V{bits // 8}").ravel()
-                place = {k.tobytes(): i for i, k in enumerate(keys)}
-                number = lambda part: np.array([place[v.tobytes()] for v in part.astype(">u8").view(f"V{bits // 8}").ravel()], np.int64)
-                uq, iq = np.unique(q, return_inverse=True)
-                ur, ir = np.unique(r, return_inverse=True)
-                label = forest(number(x[uq])[iq], number(rows[ur])[ir], len(nodes))
-                other = np.flatnonzero(label != np.arange(len(nodes)))
-                yield pa.RecordBatch.from_arrays([pa.array([keys[i].tobytes() for i in other], pa.binary()), pa.array(
-                    [keys[i].tobytes() for i in label[other]], pa.binary())], names=["a", "b"])
+                    held.append((r[keep], q[keep] + len(rows)))
+                    pairs += len(held[-1][0])
+                    if pairs > BLOCK:  # only who hangs together is kept, so a large group of copies needs no more room
+                        label, held, pairs = joined(label, held), [], 0
+                if pairs:
+                    label = joined(label, held)
+                other = np.flatnonzero(label != np.arange(len(label)))
+                if len(other):
+                    nodes = np.concatenate([rows, x])
+                    ends = [[bytes(k) for k in nodes[i].astype(">u8").view(np.uint8).reshape(len(i), -1)] for i in (other, label[other])]
+                    yield pa.RecordBatch.from_arrays([pa.array(e, pa.binary()) for e in ends], names=["a", "b"])
     return link
 
 
