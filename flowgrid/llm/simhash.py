@@ -164,6 +164,9 @@ def ring_links(rows: np.ndarray, row_d: np.ndarray, query: np.ndarray, query_d:
         wide = max(1, np.searchsorted(row_d, query_d[at] + radius, side="right") - lo)
         to = min(len(query), at + max(1, BLOCK // wide))
         hi = np.searchsorted(row_d, query_d[to - 1] + radius, side="right")
+        while to - at > 1 and (to - at) * (hi - lo) > BLOCK:  # the ring of later queries may be far wider
+            to = at + max(1, min(to - at - 1, BLOCK // (hi - lo)))
+            hi = np.searchsorted(row_d, query_d[to - 1] + radius, side="right")
         far = np.zeros((to - at, hi - lo), np.uint8)
         for w in range(rows.shape[1]):
             far += np.bitwise_count(query[at:to, None, w] ^ rows[None, lo:hi, w])
