@@ -136,10 +136,26 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "de
     return encoded.mapInArrow(run, _extended(encoded, out))
 
 
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``docs`` (doc_id, text) with packed ids in place of the text, and what they decode to; both steps in one Python
+    worker a task, so that an executor holds half as many."""
+    model = docs.sparkSession.sparkContext.broadcast(serialise(read_ranks(ranks_path)))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one, table = _encoder(model.value, pattern), _byte_table(model.value)
+        for batch in batches:
+            packed = [one(t.as_py() or "") for t in batch.column(1)]
+            back = [b"".join(map(table.__getitem__, np.frombuffer(i, "<u4").tolist())) for i in packed]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), pa.array(back, pa.binary())],
+                                             names=["doc_id", "ids", "decoded"])
+
+    return docs.mapInArrow(run, T.StructType([docs.schema["doc_id"], T.StructField("ids", T.BinaryType()),
+                                              T.StructField("decoded", T.BinaryType())]))
+
+
 def digests(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 of the packed ids and of the decoded bytes; on request the ids too."""
-    both = decode(encode(docs.select("doc_id", F.col("text").cast("string").alias("text")), ranks_path, pattern)
-                  .select("doc_id", "ids"), ranks_path)
+    both = round_trip(docs.select("doc_id", F.col("text").cast("string").alias("text")), ranks_path, pattern)
     return both.select("doc_id", F.expr("cast(octet_length(ids) div 4 AS bigint)").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
                        *["ids"] * keep_ids)

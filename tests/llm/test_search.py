@@ -130,6 +130,8 @@ def test_bpe_equals_tiktoken_and_decodes(spark):
         assert got[i].decoded_sha256 == brute.sha(t or "")
     both = spm_bpe.encode(df.drop("ids"), path, public_tokenizers.PATTERN)
     assert both.columns == [*df.drop("ids").columns, "ids"]
+    back = spm_bpe.decode(both.drop("decoded"), path).select("doc_id", "decoded").collect()
+    assert all(bytes(r.decoded).decode() == (texts[r.doc_id] or "") for r in back)
     assert spm_bpe.digests(df.limit(0), path, public_tokenizers.PATTERN).count() == 0
 
 
