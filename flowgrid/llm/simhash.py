@@ -256,7 +256,12 @@ def components(edges: DataFrame) -> DataFrame:
 def grouped(rows: DataFrame, bits: int, radius: int, ratio: float) -> DataFrame:
     """fp, component_id, root of every distinct fingerprint of the stored ``rows`` (doc_id, fp, size)."""
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.max("size").alias("size")), "prints")
-    group = components(links(prints, bits, radius, ratio))
+    return spread(prints, links(prints, bits, radius, ratio))
+
+
+def spread(prints: DataFrame, edges: DataFrame) -> DataFrame:
+    """fp, component_id, root of every row of the stored ``prints`` (fp, first: the least id), joined along ``edges``."""
+    group = components(edges)
     members = group.join(prints, group["node"] == prints["fp"]).select("label", "first")
     least = stored(members.groupBy("label").agg(F.min("first").alias("component_id")), "components")
     linked = stored(group.join(least, "label").select(F.col("node").alias("fp"), "component_id", "label"), "linked")
@@ -279,6 +284,11 @@ def one_of_each(docs: DataFrame, k: int = 5, bits: int = 128, radius: int = 27,
     the pairs at 0.8 and nearly all above. Rows that share the group's smallest id all stay, as do rows with a null id.
     """
     rows = stored(fingerprints(docs, k, bits), "fingerprints")
-    classed = rows.where("doc_id IS NOT NULL").join(grouped(rows, bits, radius, ratio), "fp")
+    return firsts(docs, rows, grouped(rows, bits, radius, ratio))
+
+
+def firsts(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is not the component_id of their fp; ``rows``: doc_id, fp of each."""
+    classed = rows.where("doc_id IS NOT NULL").select("doc_id", "fp").join(classes, "fp")
     copies = stored(classed.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct(), "copies")
     return docs.join(copies, docs["doc_id"].cast("bigint") == copies["__id"], "left_anti")
