@@ -5,6 +5,10 @@ the passage matrix keeps those columns: tf * idf, idf = max(0, log((RARE * N + 2
 A randomised SVD of that matrix runs distributed: one pass sketches A'A times a random matrix, tasks send partial sums
 by slabs of terms, and the right singular vectors follow from the small sketch. Latent vectors are linear in the words,
 so a window is the sum of neighbouring passages; windows whose cosine with an item reaches ``cosine`` are candidates.
+That idf is zero for the terms of an item that has leaked widely, and a window says little about an item far longer than
+it. So every window is a candidate as well whose region holds the words that a match cannot do without: of an item's n
+words a match leaves at most (1 - ``paraphrased``) n out, hence of its rarest terms, which make up CORE of the words, at
+most as many; documents and then regions are held against that by counts. No match fails it, whatever idf or length.
 Each candidate is checked on the words themselves: the longest common subsequence of item and window region over the
 item's length is ``copied`` or more (a copy), or at least ``paraphrased`` while the item's answer (its last sentence,
 else its last third) is kept to ``answered`` in order (a paraphrase).
@@ -19,6 +23,7 @@ a row for each; repeated rows get theirs too; null ids stay null; either table e
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -31,7 +36,7 @@ from pyspark.sql import functions as F
 
 from flowgrid.llm.common import stored, text_key, text_of
 
-STEP, RANK, OVER, ITEMS, SLAB, RARE, SLICE, PAIRS = 32, 160, 32, 5000, 64, 0.01, 1000, 1 << 22
+STEP, RANK, OVER, ITEMS, SLAB, RARE, SLICE, PAIRS, CORE = 32, 160, 32, 5000, 64, 0.01, 1000, 1 << 22, 0.75
 MATCH = "doc_id bigint, key struct<a:bigint,b:bigint>, item_id bigint, cosine double, lcs double, answer double, kind string"
 
 
@@ -239,9 +244,49 @@ def _masks(terms: np.ndarray) -> dict[int, int]:
     return out
 
 
+class Core:
+    """The rarest terms of each item, CORE of its words at least, and how many of those words a match needs."""
+
+    def __init__(self, items: Items, df: np.ndarray, paraphrased: float):
+        self.items, self.need, terms, owners, words = len(items.ids), [], [], [], []
+        self.member = np.zeros((len(items.ids), len(items.vocabulary)), bool)
+        for i, t in enumerate(items.terms):
+            own, times = np.unique(t, return_counts=True)
+            order = np.argsort(df[own], kind="stable")
+            held = np.cumsum(times[order])
+            core = order[:np.searchsorted(held, CORE * len(t)) + 1]
+            self.member[i, own[core]] = True
+            self.need.append(times[core].sum() - (len(t) - math.ceil(paraphrased * len(t) - 1e-9)))
+            terms.append(own[core])
+            owners.append(np.full(len(core), i))
+            words.append(times[core])
+        term = np.concatenate(terms)
+        order = np.argsort(term, kind="stable")
+        self.owner, self.words, self.need = np.concatenate(owners)[order], np.concatenate(words)[order], np.array(self.need)
+        self.first = np.searchsorted(term[order], np.arange(len(items.vocabulary) + 1))
+
+    def documents(self, term: np.ndarray, doc: np.ndarray, docs: int) -> list[tuple[int, int]]:
+        """(document, item) wherever the document holds as many core words as a match needs."""
+        terms, held = len(self.first) - 1, np.zeros(docs * self.items)
+        pair = np.unique(doc * terms + term)
+        d, t = pair // terms, pair % terms
+        each = self.first[t + 1] - self.first[t]
+        end = np.cumsum(each)
+        at = 0
+        while at < len(pair):
+            to = max(at + 1, int(np.searchsorted(end, end[at] + PAIRS // 4)))
+            n = each[at:to]
+            entry = np.arange(n.sum()) + np.repeat(self.first[t[at:to]] - (np.cumsum(n) - n), n)
+            lo, hi = d[at] * self.items, (d[to - 1] + 1) * self.items
+            held[lo:hi] += np.bincount(np.repeat(d[at:to], n) * self.items + self.owner[entry] - lo, self.words[entry], hi - lo)
+            at = to
+        found = np.flatnonzero((held.reshape(docs, self.items) >= self.need).ravel())
+        return [divmod(int(f), self.items) for f in found]
+
+
 def _search(shipped, cosine: float, copied: float, paraphrased: float, answered: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, vectors, queries = shipped.value
+        items, vectors, queries, core = shipped.value
         member = np.zeros((len(items.ids), len(items.vocabulary)), bool)
         for i, t in enumerate(items.terms):
             member[i, t] = True
@@ -252,7 +297,7 @@ def _search(shipped, cosine: float, copied: float, paraphrased: float, answered:
                 batch = whole.slice(at, SLICE)
                 term, pos, doc = _read(batch)
                 starts, p_doc, p_number = _passages(pos, doc)
-                if not len(starts) or not vectors.shape[1]:
+                if not len(starts):
                     continue
                 z = _latent(term, starts, vectors)
                 near = np.concatenate([(np.diff(p_doc) == 0) & (np.diff(p_number) == 1), [False]])
@@ -261,6 +306,16 @@ def _search(shipped, cosine: float, copied: float, paraphrased: float, answered:
                 norm = np.sqrt((window * window).sum(1))
                 live = np.flatnonzero(norm > 0)
                 found: dict[tuple[int, int], tuple] = {}
+
+                def judge(d: int, i: int, region: list[int], c: float, found: dict = found) -> None:
+                    n = len(items.terms[i])
+                    share = lcs(item_masks[i], n, region) / n if len(region) >= paraphrased * n else 0.0
+                    if share < paraphrased:
+                        return
+                    kept = lcs(answer_masks[i], n - items.answer[i], region) / (n - items.answer[i])
+                    if share >= copied or kept >= answered:
+                        found[d, i] = max((share, kept, c), found.get((d, i), ()))
+
                 edge = np.searchsorted(doc, np.arange(batch.num_rows + 1))
                 for lo in range(0, len(live), 8192):
                     part = live[lo:lo + 8192]
@@ -273,14 +328,20 @@ def _search(shipped, cosine: float, copied: float, paraphrased: float, answered:
                         a, b = a + np.searchsorted(pos[a:b], mid - n), a + np.searchsorted(pos[a:b], mid + 2 * STEP + n)
                         region = term[a:b]
                         region = region[member[i, region]].tolist()
-                        share = lcs(item_masks[i], n, region) / n if len(region) >= paraphrased * n else 0.0
-                        if share < paraphrased:
-                            continue
-                        kept = lcs(answer_masks[i], n - items.answer[i], region) / (n - items.answer[i])
-                        if share >= copied or kept >= answered:
-                            best = (share, kept, c)
-                            if best > found.get((d, i), ()):
-                                found[d, i] = best
+                        judge(d, i, region, c)
+                for d, i in core.documents(term, doc, batch.num_rows):
+                    n, own = len(items.terms[i]), edge[d] + np.flatnonzero(member[i, term[edge[d]:edge[d + 1]]])
+                    rare = np.concatenate([[0], np.cumsum(core.member[i, term[own]])])
+                    first, last = np.searchsorted(p_doc, [d, d + 1])
+                    mid = STEP * p_number[first:last]
+                    a, b = np.searchsorted(pos[own], mid - n), np.searchsorted(pos[own], mid + 2 * STEP + n)
+                    full = np.flatnonzero((b - a >= paraphrased * n) & (rare[b] - rare[a] >= core.need[i]))
+                    for r in full[np.argsort(a[full] - b[full], kind="stable")]:  # the fullest region first
+                        share = found.get((d, i), (0.0,))[0]
+                        if share == 1 or share > (b[r] - a[r]) / n:
+                            break  # no region that follows can hold more
+                        p = first + r
+                        judge(d, i, term[own[a[r]:b[r]]].tolist(), float(window[p] @ queries[i] / norm[p]) if norm[p] > 0 else 0.0)
                 if found:
                     docs = pa.array([d for d, _ in found])
                     best = list(found.values())
@@ -324,7 +385,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, copied:
         queries = np.stack([vectors[t].sum(0) for t in some.terms])
         length = np.sqrt((queries * queries).sum(1, keepdims=True))
         queries = np.divide(queries, length, out=np.zeros_like(queries), where=length > 0)
-        shipped = spark.sparkContext.broadcast((some, vectors, queries))
+        shipped = spark.sparkContext.broadcast((some, vectors, queries, Core(some, df[:terms], paraphrased)))
         out = out.union(coded.mapInArrow(_search(shipped, cosine, copied, paraphrased, answered), MATCH))
     return out
 
