@@ -18,3 +18,13 @@ def test_an_item_leaked_into_a_third_of_all_rows(spark):
     rows += [(1000 + i, f"{brute.prose(20_000 + i, 40 + i % 9)} {items[0][1]} {brute.prose(30_000 + i, 30)}") for i in range(300)]
     rows += [(2000 + i, f"{brute.prose(40_000 + i, 50)} {items[i][1]}") for i in range(1, 20)]
     assert found(spark, rows, items) == {(1000 + i, 0) for i in range(300)} | {(2000 + i, i) for i in range(1, 20)}
+
+
+def test_items_far_longer_than_a_window(spark):
+    items = [(n, brute.prose(600 + n, n)) for n in (500, 1000, 1500, 2000)] + [(i, brute.prose(700 + i, 40)) for i in range(8)]
+    rows = [(i, brute.prose(10_000 + i, 300)) for i in range(40)]
+    rows += [(1000 + n, f"{brute.prose(n, 90)} {items[j][1]} {brute.prose(n + 1, 200)}") for j, (n, _) in enumerate(items[:4])]
+    rows += [(5000 + n, brute.edited(items[j][1], n, 9)) for j, (n, _) in enumerate(items[:4])]
+    half = [(9000 + n, " ".join(items[j][1].split()[:n // 2])) for j, (n, _) in enumerate(items[:4])]
+    want = {(start + n, n) for start in (1000, 5000) for n in (500, 1000, 1500, 2000)}
+    assert found(spark, rows + half, items) == want
