@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgrid.llm import decontaminate, hash_ring, host_reputation, maxscore, nb_svm, pii_disclosure, secret_scan, simhash, spm_bpe, suffix_buckets
+from flowgrid.llm import decontaminate, dual_tree, hash_ring, host_reputation, maxscore, nb_svm, pii_disclosure, secret_scan, simhash, spm_bpe, suffix_buckets
 from flowgrid.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +144,32 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings"))
 
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms_sql(columns: str, source: str) -> str:
+    return (f"SELECT {columns}, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+            f"'{TERM}') AS terms FROM {source} WHERE text IS NOT NULL")
+
+
+@query("op13_dual_tree", f"""
+    WITH d AS MATERIALIZED (SELECT *, len(terms) AS n FROM (
+      {_terms_sql('r, doc_id', '(SELECT row_number() OVER () AS r, doc_id, text FROM documents)')}) WHERE len(terms) > 0),
+    q AS MATERIALIZED (SELECT DISTINCT item_id, unnest(terms) AS term FROM ({_terms_sql('item_id', 'benchmark')})),
+    s AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS ld FROM d),
+    tf AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+    w AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
+    x AS (SELECT d.r, doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // ld)) AS x
+      FROM tf JOIN d ON d.r = tf.r, s),
+    scores AS (SELECT item_id, r, doc_id, sum(w * x)::BIGINT AS score FROM q JOIN w ON w.term = q.term JOIN x ON x.term = q.term GROUP BY ALL)
+    SELECT item_id, rank::INT AS rank, doc_id, score FROM (SELECT *, row_number() OVER (
+      PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0) WHERE rank <= 10""")
+def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
