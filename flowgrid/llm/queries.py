@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgrid.llm import decontaminate, dual_tree, hash_ring, host_reputation, maxscore, nb_svm, pii_disclosure, pruned_graph, secret_scan, simhash, spm_bpe, suffix_buckets
+from flowgrid.llm import decontaminate, dual_tree, hash_ring, host_reputation, maxscore, nb_svm, pii_disclosure, pruned_graph, repair_agenda, secret_scan, simhash, spm_bpe, suffix_buckets
 from flowgrid.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +144,11 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings"))
 
 
+@query("op11_repair_agenda")
+def op11_repair_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_agenda.repaired(table(spark, sf_dir, "conversations"))
+
+
 @query("op12_pruned_graph")
 def op12_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pruned_graph.top_k(table(spark, sf_dir, "embeddings"))
