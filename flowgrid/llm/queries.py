@@ -144,7 +144,52 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings"))
 
 
-@query("op11_repair_agenda")
+STEPS = "(VALUES ('B', 's', 'S'), ('B', 'u', 'U'), ('S', 'u', 'U'), ('A', 'u', 'U'), ('U', 'a', 'A')) step(q, initial, nq)"
+INSERTS = ("(VALUES ('B', 'B', 0, '', ''), ('S', 'S', 0, '', ''), ('U', 'U', 0, '', ''), ('A', 'A', 0, '', ''), "
+           + ", ".join(f"('{q}', 'U', 5, 'I', '\nuser:'), ('{q}', 'A', 10, 'II', '\nuser:\nassistant:')" for q in "BSA")
+           + ", ('U', 'A', 5, 'I', '\nassistant:'), ('U', 'U', 10, 'II', '\nassistant:\nuser:')) ins(q, nq, c, e, t)")
+SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query("op11_repair_agenda", f"""
+    WITH RECURSIVE bits AS (SELECT k, 0 AS i, k AS v FROM (SELECT unnest(range(256)) AS k) UNION ALL
+      SELECT k, i + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM bits WHERE i < 8),
+    crc AS (SELECT list(v ORDER BY k) AS lut FROM bits WHERE i = 8),
+    keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        [ascii(x) FOR x IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')] AS key FROM conversations),
+    how AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, key), lambda a, b: xor(a // 256, lut[1 + xor(a % 256, b)])),
+        4294967295) % 20 AS how FROM keyed, crc),
+    dmg AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+        CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN how = 3 THEN 2 ELSE 1 END)) FROM how WHERE how <> 0),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role || ':' || text) AS i FROM dmg),
+    seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+        rtrim(text, {SPACES}) AS rest, role[1] AS initial FROM placed),
+    r AS MATERIALIZED (SELECT *, CASE WHEN rest = '' THEN 'blank' WHEN seen THEN 'duplicate'
+        WHEN right(rest, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS odd FROM seen),
+    edits AS MATERIALIZED (
+      SELECT conv_id, i, q, q AS nq, 2 AS c, 'D' AS e, '' AS t FROM r, (VALUES ('A'), ('B'), ('S'), ('U')) s(q)
+      UNION ALL SELECT conv_id, i, q, nq, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, 'K', chr(10) || role || ':' || text
+        FROM r JOIN {STEPS} ON step.initial = r.initial WHERE fault NOT IN ('blank', 'duplicate')
+      UNION ALL SELECT conv_id, i, q, nq, CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, 'R',
+        chr(10) || CASE step.initial WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text
+        FROM r JOIN {STEPS} ON step.initial <> r.initial AND step.initial <> 's' WHERE fault NOT IN ('blank', 'duplicate')),
+    moves AS MATERIALIZED (SELECT conv_id, i, ins.q, edits.nq, ins.c + edits.c AS c, ins.e || edits.e AS e, ins.t || edits.t AS t
+      FROM edits JOIN {INSERTS} ON ins.nq = edits.q),
+    n AS (SELECT conv_id, max(i) AS n, sum((fault = 'blank')::BIGINT)::BIGINT AS blank, sum((fault = 'duplicate')::BIGINT)::BIGINT AS duplicate,
+      sum((fault = 'truncated')::BIGINT)::BIGINT AS truncated, coalesce(sum(odd::BIGINT), 0)::BIGINT AS illegal,
+      coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps FROM r GROUP BY conv_id),
+    st AS (SELECT conv_id, 0::BIGINT AS i, 'B' AS q, {{'c': 0, 'e': '', 't': ''}} AS best FROM n UNION ALL
+      SELECT st.conv_id, m.i, m.nq, min({{'c': best.c + m.c, 'e': best.e || m.e, 't': best.t || m.t}})
+      FROM st JOIN moves m ON m.conv_id IS NOT DISTINCT FROM st.conv_id AND m.i = st.i + 1 AND m.q = st.q GROUP BY ALL),
+    done AS (SELECT st.conv_id, min({{'c': best.c + c, 'e': best.e || e, 't': best.t || t}}) AS best FROM st
+      JOIN n ON n.conv_id IS NOT DISTINCT FROM st.conv_id AND n.n = st.i JOIN {INSERTS} ON ins.q = st.q AND ins.nq IN ('A', 'B') GROUP BY 1)
+    SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.e, '') AS audit,
+      sha256(coalesce(best.t[2:], '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM o.conv_id""")
 def op11_repair_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_agenda.repaired(table(spark, sf_dir, "conversations"))
 
