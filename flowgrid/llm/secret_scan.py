@@ -56,8 +56,12 @@ def steps(token: Column) -> Column:
                       lambda a, b: F.ascii(a) * ASCII + F.ascii(b))
 
 
-def learn(docs: DataFrame, fit_rows: int = 20000, smooth: float = 0.5) -> list[float] | None:
-    """Log-likelihood ratio of every character pair, random over ordinary; None without examples of both."""
+def learn(docs: DataFrame, fit_rows: int = 20000, smooth: float = 0.5, weight: float = 8.0) -> list[float] | None:
+    """Log-likelihood ratio of every character pair, random over ordinary; None without examples of both.
+
+    Pair frequencies are interpolated with the frequencies of the second characters of the same class, which count as
+    ``weight`` further pairs, so that a first character never seen in a class is no evidence by itself.
+    """
     every = max(1, docs.count() // fit_rows)
     text = text_of()
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(text.alias("text")).withColumn("base", base(F.col("text")))
@@ -68,23 +72,21 @@ def learn(docs: DataFrame, fit_rows: int = 20000, smooth: float = 0.5) -> list[f
                                   lambda v: F.struct(F.lit(0).alias("y"), v.alias("v"))))
     counts = (sample.select(F.explode(tokens).alias("t")).groupBy("t.y", "t.v").agg(F.count(F.lit(1)).alias("n"))
               .select("y", "n", F.explode(steps(F.col("v"))).alias("step")).groupBy("y", "step").agg(F.sum("n")).collect())
-    seen = [[smooth] * (ASCII * ASCII) for _ in range(2)]
-    total = [0, 0]
+    seen = [[0] * (ASCII * ASCII) for _ in range(2)]
     used = set()
     for y, step, n in counts:
         seen[y][step] += n
-        total[y] += n
-        used.add(step % ASCII)
-    if not all(total):
+        used |= {step // ASCII, step % ASCII}
+    if not all(map(any, seen)):
         return None
-    alphabet = max(len(used), 1)
     log = [[0.0] * (ASCII * ASCII) for _ in range(2)]
     for y in range(2):
+        after = [sum(seen[y][b::ASCII]) + smooth for b in range(ASCII)]  # how often each character follows any other
+        share = [n / (sum(after) - smooth * (ASCII - len(used))) for n in after]
         for a in range(ASCII):
             row = seen[y][a * ASCII:(a + 1) * ASCII]
-            whole = sum(row) - smooth * (ASCII - alphabet)
             for b in range(ASCII):
-                log[y][a * ASCII + b] = math.log(row[b] / whole)
+                log[y][a * ASCII + b] = math.log((row[b] + weight * share[b]) / (sum(row) + weight))
     return [round(r - o, 6) for o, r in zip(*log, strict=True)]
 
 
