@@ -56,11 +56,12 @@ def steps(token: Column) -> Column:
                       lambda a, b: F.ascii(a) * ASCII + F.ascii(b))
 
 
-def learn(docs: DataFrame, fit_rows: int = 20000, smooth: float = 0.5, weight: float = 8.0) -> list[float] | None:
+def learn(docs: DataFrame, fit_rows: int = 20000, smooth: float = 0.5, weight: float = 256.0) -> list[float] | None:
     """Log-likelihood ratio of every character pair, random over ordinary; None without examples of both.
 
     Pair frequencies are interpolated with the frequencies of the second characters of the same class, which count as
-    ``weight`` further pairs, so that a first character never seen in a class is no evidence by itself.
+    ``weight`` further pairs: a first character never or hardly seen in a class is no evidence by itself, and a random string
+    that no pattern marks does not pass for an ordinary one because it is among the ordinary tokens.
     """
     every = max(1, docs.count() // fit_rows)
     text = text_of()
