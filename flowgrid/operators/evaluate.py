@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from flowgrid.functions.scalars import pct_error, ratio
 from flowgrid.functions.timefns import day_of_hour
-from flowgrid.operators.series import attach, exact_quantile
+from flowgrid.operators.quantiles import exact_quantile, exact_quantiles
+from flowgrid.operators.series import attach
 
 
 def error() -> Column:
@@ -250,20 +251,22 @@ def ensemble(df: DataFrame, keys: list[str], members: list[str]) -> DataFrame:
     return part.where(F.col("_n") == len(members)).drop("_n")
 
 
-def past_folds(df: DataFrame, folds: list[str], fold: str = "fold") -> DataFrame:
-    """Give each row to every later fold (``for_fold``). The distinct folds are a handful of calendar periods."""
-    later = df.select(F.col(fold).alias("_f")).distinct().agg(F.sort_array(F.collect_set("_f")).alias("_folds"))
-    ahead = F.filter("_folds", lambda f: f > F.col(fold))
-    return attach(df, later, []).withColumn("for_fold", F.explode(ahead)).drop("_folds", *folds)
+def past_sums(df: DataFrame, keys: list[str], sums: dict[str, Column], fold: str = "fold") -> DataFrame:
+    """Sums over the rows of all earlier folds -> keys, for_fold and a column for each entry of ``sums`` (any additive
+    aggregate). Rows are added up once, in their own fold; running totals over folds, a row each, do the rest. A fold
+    with none before it has no row."""
+    own = df.groupBy(*keys, fold).agg(*[c.alias(n) for n, c in sums.items()])
+    past = Window.partitionBy(*keys).orderBy(fold).rowsBetween(Window.unboundedPreceding, -1)
+    totals = own.select(*keys, F.col(fold).alias("for_fold"), F.count(F.lit(1)).over(past).alias("_folds"),
+                        *[F.sum(n).over(past).alias(n) for n in sums])
+    return totals.where("_folds > 0").drop("_folds")
 
 
-def conformal(df: DataFrame, level: float = 0.8, fold: str = "fold") -> DataFrame:
+def conformal(df: DataFrame, keys: list[str], level: float = 0.8, fold: str = "fold") -> DataFrame:
     """Widen lo/hi by the ``level`` quantile of the scores of all earlier folds -> lo_cal, hi_cal (first fold null)."""
     miss = F.greatest(F.col("lo") - F.col("y"), F.col("y") - F.col("hi")) / F.col("pred")
     scored = df.withColumn("score", miss)
-    past = past_folds(scored.select(fold, "score"), [fold], fold)
-    q = exact_quantile(past, ["for_fold"], "score", level, "q").withColumnRenamed("for_fold", fold)
-    out = scored.join(q, fold, "left")
+    out = scored.join(exact_quantile(scored, keys, "score", level, "q", fold), [*keys, fold], "left")
     return (out.withColumn("lo_cal", F.col("lo") - F.col("q") * F.col("pred"))
             .withColumn("hi_cal", F.col("hi") + F.col("q") * F.col("pred")))
 
@@ -278,12 +281,8 @@ def coverage(df: DataFrame, keys: list[str], lo: str, hi: str) -> DataFrame:
 def ratio_band(df: DataFrame, group: list[str], fold: str = "fold", lo_q: float = 0.1,
                hi_q: float = 0.9) -> DataFrame:
     """Band = forecast x empirical quantiles of y / pred per group over the earlier folds -> lo, hi."""
-    rated = df.where(F.col("pred") > 0).withColumn("_r", F.col("y") / F.col("pred"))
-    past = past_folds(rated.select(*group, fold, "_r"), [fold], fold)
-    on = [*group, "for_fold"]
-    lo = exact_quantile(past, on, "_r", lo_q, "_lo")
-    hi = exact_quantile(past, on, "_r", hi_q, "_hi")
-    band = lo.join(hi, on).withColumnRenamed("for_fold", fold)
+    rated = F.when(F.col("pred") > 0, F.col("y") / F.col("pred"))
+    band = exact_quantiles(df.select(*group, fold, rated.alias("_r")), group, "_r", {"_lo": lo_q, "_hi": hi_q}, fold)
     return (df.join(band, [*group, fold], "left").withColumn("lo", F.col("pred") * F.col("_lo"))
             .withColumn("hi", F.col("pred") * F.col("_hi")).drop("_lo", "_hi"))
 

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from flowgrid.functions.scalars import col
 
 HOUR_CHUNK = 24 * 7 * 12
-SMALL_GROUP = 10_000
 DAY_CHUNK = 365 * 4
 
 Frame = tuple[int, int, Callable]
@@ -255,53 +254,3 @@ def acf(df: DataFrame, keys: list[str], pos: str, value: str, max_lag: int, chun
     cross = autocovariance(centred, keys, pos, "_dev", max_lag, chunk)
     total = cross.where(F.col("lag") == 0).select(*keys, F.col("cross").alias("_total"))
     return attach(cross, total, keys).where(F.col("pairs") > 0).select(*keys, "lag", F.try_divide("cross", "_total").alias("r"))
-
-
-def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float, out: str = "q",
-                   slack: float = 0.002, buckets: int = 4096) -> DataFrame:
-    """Exact linear-interpolated quantile per key without gathering a group.
-
-    1. A sketch with rank error slack / 10 brackets the wanted ranks (groups of at most SMALL_GROUP rows, where one
-       rank is a large share, use their whole range).
-    2. The bracket is cut into equal-width buckets and counted; the counts below it and inside it tell exactly which
-       bucket holds each wanted rank.
-    3. Only the values of those one or two buckets are ranked - about 2 * slack / buckets of a group.
-
-    Three pruned scans of two columns; what is joined back is one row per key.
-    """
-    src = df.where(F.col(value).isNotNull())
-    acc = int(10 / slack)
-    small = F.col("_n") <= SMALL_GROUP
-    low, high = max(q - slack, 0.0), min(q + slack, 1.0)
-    bounds = src.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.min(value).alias("_min"), F.max(value).alias("_max"),
-        F.percentile_approx(value, [low, high], acc).alias("_ends"))
-    bounds = bounds.select(
-        *keys, ((F.col("_n") - 1) * F.lit(float(q))).alias("_rank"),
-        F.when(small | F.lit(low == 0), F.col("_min")).otherwise(F.col("_ends")[0]).alias("_lo"),
-        F.when(small | F.lit(high == 1), F.col("_max")).otherwise(F.col("_ends")[1]).alias("_hi"))
-    v, lo, hi, rank = F.col("_v"), F.col("_lo"), F.col("_hi"), F.col("_rank")
-    share = F.coalesce(F.try_divide(v - lo, hi - lo), F.lit(0.0))
-    slot = F.when(v < lo, -1).otherwise(F.least(F.floor(share * buckets), F.lit(buckets - 1))).cast("int")
-    placed = attach(src.select(*keys, F.col(value).cast("double").alias("_v")), bounds, keys).where(v <= hi).select(
-        *keys, "_v", "_rank", slot.alias("_b"))
-
-    def spans(counted: DataFrame, part: list[str], order: str, start: Column) -> DataFrame:
-        upto = F.sum("_c").over(Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-        return counted.withColumn("_upto", upto + start).withColumn("_from", F.col("_upto") - F.col("_c"))
-
-    def holding(r: Column, what: str) -> Column:
-        return F.max(F.when((F.col("_from") <= r) & (r < F.col("_upto")), F.col(what)))
-
-    first, second = F.floor(rank), F.ceil(rank)
-    hist = placed.groupBy(*keys, "_b").agg(F.count("*").alias("_c"), F.first("_rank").alias("_rank"))
-    found = spans(hist, keys, "_b", F.lit(0)).groupBy(*keys).agg(
-        holding(first, "_b").alias("_b1"), holding(first, "_from").alias("_f1"),
-        holding(second, "_b").alias("_b2"), holding(second, "_from").alias("_f2"))
-    kept = attach(placed, found, keys).where(F.col("_b").isin(F.col("_b1"), F.col("_b2")))
-    start = F.when(F.col("_b") == F.col("_b1"), F.col("_f1")).otherwise(F.col("_f2"))
-    values = kept.groupBy(*keys, "_b", "_v").agg(F.count("*").alias("_c"), F.first("_rank").alias("_rank"),
-                                                 F.first(start).alias("_s"))
-    picks = spans(values, [*keys, "_b"], "_v", F.col("_s")).groupBy(*keys).agg(
-        holding(first, "_v").alias("_x"), holding(second, "_v").alias("_y"), F.first(rank - first).alias("_w"))
-    return picks.select(*keys, (F.col("_x") + (F.col("_y") - F.col("_x")) * F.col("_w")).alias(out))

@@ -11,6 +11,7 @@ from flowgrid.operators import evaluate as E
 from flowgrid.operators import explore as X
 from flowgrid.operators import series
 from flowgrid.operators.models import seasonal_naive
+from flowgrid.operators.quantiles import exact_quantile
 from flowgrid.queries.base import DT, R, TS, out, query
 from flowgrid.queries.tables import EID_TYPE
 from flowgrid.sources import inputs as I
@@ -270,7 +271,7 @@ SELECT model, CAST(month(fold) AS INTEGER) AS month, count(*) AS hours, {R('avg(
   {R('sum(pred - y) / sum(y) * 100')} AS bias_pct, count(*) FILTER (y >= cut) AS peak_days FROM v_lpred,
   (SELECT quantile_cont(y, 0.9) AS cut FROM v_lwide) GROUP BY ALL""")
 def segment_months(spark, sf):
-    cut = series.exact_quantile(I.wide_long(spark, sf), [], "y", 0.9, "cut")
+    cut = exact_quantile(I.wide_long(spark, sf), [], "y", 0.9, "cut")
     p = series.attach(I.long_predictions(spark, sf), cut, []).withColumn("month", F.month("fold"))
     return out(p.groupBy("model", "month").agg(
         F.count("*").alias("hours"), E.mape().alias("mape"), E.bias_pct().alias("bias_pct"),
@@ -289,20 +290,19 @@ def _acf_sql(view: str, value: str, keys: str, lags: int) -> str:
         {on.replace('a.', 'k.').replace('b.', 'z.')}"""
 
 
-@query("error_acf", _acf_sql("(SELECT series, h AS pos, pred - y AS e FROM v_pred WHERE model = 'mean_3w')", "e", "series", 72))
+@query("error_acf", _acf_sql("(SELECT series, model, h AS pos, pred - y AS e FROM v_pred)", "e", "series, model", 72))
 def error_acf(spark, sf):
-    p = I.predictions(spark, sf).where(F.col("model") == "mean_3w").withColumn("e", E.error())
-    return out(series.acf(p, ["series"], "h", "e", 72))
+    p = I.predictions(spark, sf).withColumn("e", E.error())
+    return out(series.acf(p, ["series", "model"], "h", "e", 72))
 
 
 @query("volume_error", f"""
-WITH d AS (SELECT day, (pred - y) / y * 100 AS e FROM v_lpred WHERE model = 'mean_3w')
-SELECT {DT('day')} AS date, {R('e')} AS err_pct, {R('''CASE WHEN count(e) OVER w >= 28 THEN avg(e) OVER w END''')} AS err_28d FROM d
-WINDOW w AS (ORDER BY day RANGE BETWEEN 14 PRECEDING AND 13 FOLLOWING)""")
+WITH d AS (SELECT model, day, (pred - y) / y * 100 AS e FROM v_lpred)
+SELECT model, {DT('day')} AS date, {R('e')} AS err_pct, {R('''CASE WHEN count(e) OVER w >= 28 THEN avg(e) OVER w END''')} AS err_28d FROM d
+WINDOW w AS (PARTITION BY model ORDER BY day RANGE BETWEEN 14 PRECEDING AND 13 FOLLOWING)""")
 def volume_error(spark, sf):
-    p = I.long_predictions(spark, sf).where(F.col("model") == "mean_3w")
-    d = p.select("day", (E.error() / F.col("y") * 100).alias("err_pct"))
-    return out(series.centred_mean(d, [], "day", "err_pct", 28, None, "err_28d"))
+    d = I.long_predictions(spark, sf).select("model", "day", (E.error() / F.col("y") * 100).alias("err_pct"))
+    return out(series.centred_mean(d, ["model"], "day", "err_pct", 28, None, "err_28d"))
 
 
 @query("ensemble", f"""
@@ -314,46 +314,46 @@ def ensemble(spark, sf):
     return _metrics_out(E.metrics(e, ["series"]))
 
 
-CONF = """f AS (SELECT day, y, mean_3w AS pred, mean_3w * 0.9 AS lo, mean_3w * 1.1 AS hi,
-    CAST(date_trunc('month', DATE '1970-01-01' + CAST(day AS INTEGER)) AS DATE) AS fold FROM v_lwide),
+CONF = """f AS (SELECT day, y, model, pred, pred * 0.9 AS lo, pred * 1.1 AS hi, fold FROM v_lpred),
 s AS (SELECT *, greatest(lo - y, y - hi) / pred AS score FROM f),
-q AS (SELECT a.fold, quantile_cont(b.score, 0.8) AS q FROM (SELECT DISTINCT fold FROM s) a JOIN s b ON b.fold < a.fold GROUP BY a.fold),
-iv AS (SELECT s.*, q.q, lo - q.q * pred AS lo_cal, hi + q.q * pred AS hi_cal FROM s LEFT JOIN q ON q.fold = s.fold)"""
+q AS (SELECT a.fold, b.model, quantile_cont(b.score, 0.8) AS q FROM (SELECT DISTINCT fold FROM s) a JOIN s b ON b.fold < a.fold GROUP BY ALL),
+iv AS (SELECT s.*, q.q, lo - q.q * pred AS lo_cal, hi + q.q * pred AS hi_cal FROM s LEFT JOIN q ON q.fold = s.fold AND q.model = s.model)"""
 
 
 def calibrated(spark, sf):
-    """A fixed +-10 % band around the three-week mean, widened fold by fold."""
-    p = I.long_predictions(spark, sf).where(F.col("model") == "mean_3w")
-    return E.conformal(p.withColumn("lo", F.col("pred") * 0.9).withColumn("hi", F.col("pred") * 1.1))
+    """A fixed +-10 % band around each model's forecast, widened fold by fold."""
+    p = I.long_predictions(spark, sf)
+    return E.conformal(p.withColumn("lo", F.col("pred") * 0.9).withColumn("hi", F.col("pred") * 1.1), ["model"])
 
 
 @query("conformal_interval", f"""
-WITH {CONF} SELECT {DT('day')} AS date, fold, {R('q * 1000', 3)} AS q_permille, {R('lo_cal', 3)} AS lo_cal, {R('hi_cal', 3)} AS hi_cal FROM iv""")
+WITH {CONF} SELECT model, {DT('day')} AS date, fold, {R('q * 1000', 3)} AS q_permille, {R('lo_cal', 3)} AS lo_cal, {R('hi_cal', 3)} AS hi_cal FROM iv""")
 def conformal_interval(spark, sf):
-    return out(calibrated(spark, sf).select("day", "fold", (F.col("q") * 1000).alias("q_permille"), "lo_cal", "hi_cal"), 3)
+    return out(calibrated(spark, sf).select("model", "day", "fold", (F.col("q") * 1000).alias("q_permille"), "lo_cal", "hi_cal"), 3)
 
 
 @query("interval_coverage", f"""
-WITH {CONF} SELECT fold, {R('avg(CAST(y BETWEEN lo AND hi AS INTEGER)) * 100')} AS raw_coverage,
+WITH {CONF} SELECT model, fold, {R('avg(CAST(y BETWEEN lo AND hi AS INTEGER)) * 100')} AS raw_coverage,
   {R('avg(CAST(y BETWEEN lo_cal AND hi_cal AS INTEGER)) * 100')} AS cal_coverage,
-  {R('avg((hi_cal - lo_cal) / pred) * 50')} AS cal_half_width FROM iv WHERE q IS NOT NULL GROUP BY fold""")
+  {R('avg((hi_cal - lo_cal) / pred) * 50')} AS cal_half_width FROM iv WHERE q IS NOT NULL GROUP BY model, fold""")
 def interval_coverage(spark, sf):
     iv = calibrated(spark, sf).where(F.col("q").isNotNull())
-    raw = E.coverage(iv, ["fold"], "lo", "hi").select("fold", F.col("coverage_pct").alias("raw_coverage"))
-    cal = E.coverage(iv, ["fold"], "lo_cal", "hi_cal").select("fold", F.col("coverage_pct").alias("cal_coverage"),
-                                                              F.col("half_width_pct").alias("cal_half_width"))
-    return out(raw.join(cal, "fold"))
+    inside = lambda lo, hi: F.avg(F.col("y").between(F.col(lo), F.col(hi)).cast("double")) * 100
+    return out(iv.groupBy("model", "fold").agg(
+        inside("lo", "hi").alias("raw_coverage"), inside("lo_cal", "hi_cal").alias("cal_coverage"),
+        (F.avg((F.col("hi_cal") - F.col("lo_cal")) / F.col("pred")) * 50).alias("cal_half_width")))
 
 
 @query("quantile_band", f"""
-WITH p AS (SELECT series, h, y, pred, fold, CAST(h % 24 AS INTEGER) AS hour FROM v_pred WHERE model = 'mean_3w'),
-q AS (SELECT a.hour, a.fold, quantile_cont(b.y / b.pred, 0.1) AS lo, quantile_cont(b.y / b.pred, 0.9) AS hi
-  FROM (SELECT DISTINCT hour, fold FROM p) a JOIN p b ON b.hour = a.hour AND b.fold < a.fold WHERE b.pred > 0 GROUP BY ALL)
-SELECT p.series, {TS('p.h')} AS ts, {R('p.pred * q.lo')} AS lo, {R('p.pred * q.hi')} AS hi FROM p
-LEFT JOIN q ON q.hour = p.hour AND q.fold = p.fold""")
+WITH p AS (SELECT series, model, h, y, pred, fold, CAST(h % 24 AS INTEGER) AS hour FROM v_pred),
+q AS (SELECT a.model, a.hour, a.fold, quantile_cont(b.y / b.pred, 0.1) AS lo, quantile_cont(b.y / b.pred, 0.9) AS hi
+  FROM (SELECT DISTINCT model, hour, fold FROM p) a JOIN p b ON b.model = a.model AND b.hour = a.hour AND b.fold < a.fold
+  WHERE b.pred > 0 GROUP BY ALL)
+SELECT p.series, p.model, {TS('p.h')} AS ts, {R('p.pred * q.lo')} AS lo, {R('p.pred * q.hi')} AS hi FROM p
+LEFT JOIN q ON q.model = p.model AND q.hour = p.hour AND q.fold = p.fold""")
 def quantile_band(spark, sf):
-    p = I.predictions(spark, sf).where(F.col("model") == "mean_3w").withColumn("hour", hour_of_day("h"))
-    return out(E.ratio_band(p, ["hour"]).select("series", "h", "lo", "hi"))
+    p = I.predictions(spark, sf).withColumn("hour", hour_of_day("h"))
+    return out(E.ratio_band(p, ["model", "hour"]).select("series", "model", "h", "lo", "hi"))
 
 
 @query("leaderboard", f"""

@@ -10,6 +10,7 @@ from flowgrid.functions.timefns import day_date, day_of_hour, hour_of_day, hour_
 from flowgrid.operators import evaluate as E
 from flowgrid.operators import explore as X
 from flowgrid.operators import features, series, vintages
+from flowgrid.operators.quantiles import exact_quantile, exact_quantiles
 from flowgrid.operators.series import DAY_CHUNK
 from flowgrid.queries.base import DT, R, TS, out, query
 from flowgrid.queries.tables import DAY_TYPE
@@ -98,8 +99,7 @@ def semi_join_days(spark, sf):
 SELECT f.fold AS for_fold, count(*) AS n, {R('sum(p.y)', 2)} AS y_sum
 FROM (SELECT DISTINCT fold FROM v_lpred) f JOIN v_lpred p ON p.fold < f.fold GROUP BY ALL""")
 def past_folds_join(spark, sf):
-    past = E.past_folds(I.long_predictions(spark, sf).select("fold", "y"), ["fold"])
-    return out(past.groupBy("for_fold").agg(F.count("*").alias("n"), F.sum("y").alias("y_sum")), 2)
+    return out(E.past_sums(I.long_predictions(spark, sf), [], {"n": F.count("*"), "y_sum": F.sum("y")}), 2)
 
 
 @query("fold_assign_join", f"""
@@ -238,13 +238,12 @@ def agg_corr(spark, sf):
 SELECT series, {R('quantile_cont(demand, 0.9)')} AS q90, {R('quantile_cont(demand, 0.5)')} AS q50 FROM v_readings GROUP BY series""")
 def agg_quantile(spark, sf):
     r = I.readings(spark, sf)
-    a = series.exact_quantile(r, ["series"], "demand", 0.9, "q90")
-    return out(a.join(series.exact_quantile(r, ["series"], "demand", 0.5, "q50"), "series"))
+    return out(exact_quantiles(r, ["series"], "demand", {"q90": 0.9, "q50": 0.5}))
 
 
 @query("agg_quantile_global", f"SELECT {R('quantile_cont(l_extendedprice, 0.9)', 3)} AS q90 FROM lineitem")
 def agg_quantile_global(spark, sf):
-    return out(series.exact_quantile(I.table(spark, sf, "lineitem"), [], "l_extendedprice", 0.9, "q90"), 3)
+    return out(exact_quantile(I.table(spark, sf, "lineitem"), [], "l_extendedprice", 0.9, "q90"), 3)
 
 
 @query("agg_describe", f"""

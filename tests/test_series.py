@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from flowgrid.operators import quantiles as Q
 from flowgrid.operators import series as S
 
 CHUNK = 37
@@ -101,16 +102,15 @@ def test_acf_brute_force(gappy):
 
 
 @pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.8, 0.9, 1.0])
-def test_exact_quantile_hot_and_tiny_groups(spark, q, monkeypatch):
-    monkeypatch.setattr(S, "SMALL_GROUP", 500)
+def test_exact_quantile_hot_and_tiny_groups(spark, q):
     rng = np.random.default_rng(5)
     pdf = pd.concat([pd.DataFrame({"k": "hot", "y": np.round(rng.exponential(50, 20000), 2)}),
                      pd.DataFrame({"k": "same", "y": [3.0] * 700}), pd.DataFrame({"k": "few", "y": [1.0, 2.0, 10.0]})])
     df = spark.createDataFrame(pdf)
-    got = {r["k"]: r["q"] for r in S.exact_quantile(df, ["k"], "y", q).collect()}
+    got = {r["k"]: r["q"] for r in Q.exact_quantile(df, ["k"], "y", q).collect()}
     for k, g in pdf.groupby("k"):
         assert np.isclose(got[k], np.quantile(g.y, q), atol=1e-9), k
-    one = S.exact_quantile(df, [], "y", q).first()["q"]
+    one = Q.exact_quantile(df, [], "y", q).first()["q"]
     assert np.isclose(one, np.quantile(pdf.y, q), atol=1e-9)
 
 
@@ -120,3 +120,32 @@ def test_per_series_equals_alone(gappy):
     alone = S.rolling(df.where("k = 'small'").drop("k"), [], "h", "y", 24, 2, 10, chunk=CHUNK)
     a, b = (x.toPandas().sort_values("h").reset_index(drop=True) for x in (both, alone))
     pd.testing.assert_frame_equal(a, b)
+
+
+@pytest.mark.parametrize("n", [1, 2, 9_999, 10_000, 10_001])
+def test_quantiles_take_one_path_at_every_size(spark, n):
+    rng = np.random.default_rng(n)
+    y = np.concatenate([rng.standard_cauchy(n - n // 3), np.full(n // 3, 7.0)])  # heavy tails, and a third of equal values
+    df = spark.createDataFrame(pd.DataFrame({"y": y})).unionByName(spark.sql("SELECT double('nan') AS y UNION ALL SELECT null"))
+    qs = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.9, "e": 0.999, "f": 1.0}
+    got = Q.exact_quantiles(df, [], "y", qs).first()
+    for k, q in qs.items():
+        assert np.isclose(got[k], np.quantile(y, q), rtol=1e-12, atol=1e-12), (k, n)
+
+
+def test_more_quantiles_cost_no_more_scans(spark, tmp_path):
+    spark.range(5000).selectExpr("id % 3 AS k", "CAST(hash(id) AS DOUBLE) AS y").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    scans = lambda qs: Q.exact_quantiles(df, ["k"], "y", qs)._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    assert scans({"a": 0.5}) == scans({"a": 0.1, "b": 0.5, "c": 0.9})
+
+
+def test_quantiles_of_earlier_folds_without_copies(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"k": rng.choice(["a", "b"], 6000), "f": rng.integers(0, 9, 6000), "y": np.round(rng.lognormal(0, 2, 6000), 2)})
+    pdf.loc[pdf.f == 4, "y"] = np.nan
+    got = Q.exact_quantiles(spark.createDataFrame(pdf), ["k"], "y", {"lo": 0.1, "hi": 0.8}, "f")
+    rows = {(r.k, r.f): (r.lo, r.hi) for r in got.collect()}
+    want = {(k, f): tuple(np.nanquantile(pdf.y[(pdf.k == k) & (pdf.f < f)], [0.1, 0.8])) for k in "ab" for f in range(1, 9)}
+    assert rows.keys() == want.keys() and all(np.allclose(rows[k], want[k], rtol=1e-12) for k in want)
+    assert Q.exact_quantiles(spark.createDataFrame(pdf).limit(0), ["k"], "y", {"lo": 0.1}, "f").count() == 0
