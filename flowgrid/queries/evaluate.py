@@ -6,15 +6,20 @@ from pyspark.sql import functions as F
 
 from flowgrid.config import Decisions
 from flowgrid.functions.timefns import day_date, day_of_hour, hour_of_day, hour_ts
+from flowgrid.operators import backtest as B
 from flowgrid.operators import decide as D
 from flowgrid.operators import evaluate as E
 from flowgrid.operators import explore as X
+from flowgrid.operators import features as FE
 from flowgrid.operators import series
-from flowgrid.operators.models import seasonal_naive
+from flowgrid.operators.models import INTERACTION_ALPHA, linear_columns, seasonal_naive
 from flowgrid.operators.quantiles import exact_quantile
 from flowgrid.queries.base import DT, R, TS, out, query
+from flowgrid.queries.features import built
 from flowgrid.queries.tables import EID_TYPE
+from flowgrid.session import shared_folder
 from flowgrid.sources import inputs as I
+from flowgrid.sources import tables as T
 
 METRIC_SQL = f"""{R('avg(CASE WHEN y > 0 THEN abs(pred - y) / y * 100 END)')} AS mape,
   {R('sum(abs(pred - y)) / nullif(sum(abs(y)), 0) * 100')} AS wape, {R('avg(abs(pred - y))', 4)} AS mae,
@@ -87,6 +92,25 @@ def refit_backtest(spark, sf):
         F.count("pred").alias("n"), E.mape().alias("mape"), E.bias_pct().alias("bias_pct")), 4)
 
 
+@query("interaction_backtest")
+def interaction_backtest(spark, sf):
+    """Twelve folds of two days, the interaction ridge of the hourly features fitted anew for each; a fold learns from all
+    labelled hours up to a day before it. Scores next to the seasonal naive forecast on the same hours."""
+    path = f"{shared_folder(spark, 'features')}/hourly"
+    rows = FE.attach_label(built(spark, sf), I.demand(spark, sf), ["series"]).withColumnRenamed("demand", "y")
+    T.overwrite(rows, path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    folds, size = 12, 48
+    rows = series.attach(rows, rows.agg(((F.max(day_of_hour("h")) + 1) * 24 - folds * size).alias("_start")), [])
+    at = F.floor((F.col("h") - F.col("_start")) / size)
+    first = F.greatest(F.lit(0), F.floor((F.col("h") - F.col("_start") + 24) / size) + 1)
+    scored = B.interaction_backtest(rows, at, first, folds, linear_columns(FE.FEATURES), ["is_day_off", "is_ramadan", "fc_cdd24_hour"],
+                                    alpha=INTERACTION_ALPHA)
+    naive = F.avg(F.when(F.col("y") > 0, F.abs(F.col("lag_168h") - F.col("y")) / F.col("y"))) * 100
+    return out(scored.groupBy("fold").agg(F.max("n_train").alias("n_train"), F.count("pred").alias("n"), E.mape().alias("mape"),
+                                          E.bias_pct().alias("bias_pct"), naive.alias("naive_mape")), 4)
+
+
 @query("daily_total_ape", f"""
 SELECT series, model, {R('avg(abs(p - a) / nullif(a, 0)) * 100')} AS daily_total_ape FROM (
   SELECT series, model, h // 24 AS day, sum(pred) AS p, sum(y) AS a FROM v_pred GROUP BY ALL) GROUP BY ALL""")
