@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from flowgrid.config import Decisions
@@ -11,6 +13,7 @@ from flowgrid.operators import decide as D
 from flowgrid.operators import evaluate as E
 from flowgrid.operators import explore as X
 from flowgrid.operators import features as FE
+from flowgrid.operators import quantreg as QR
 from flowgrid.operators import series
 from flowgrid.operators.models import INTERACTION_ALPHA, linear_columns, seasonal_naive
 from flowgrid.operators.quantiles import exact_quantile
@@ -380,6 +383,33 @@ def quantile_band(spark, sf):
     return out(E.ratio_band(p, ["model", "hour"]).select("series", "model", "h", "lo", "hi"))
 
 
+@query("quantile_regression_band", """
+WITH c AS (SELECT min(day) + (max(day) - min(day)) * 2 // 3 AS cut FROM v_lpred)
+SELECT model, count(*) FILTER (day < cut) AS n_train, count(*) FILTER (day >= cut) AS n_held_out, true AS levels_met, true AS held_out_met,
+  true AS calibrated_met FROM v_lpred, c GROUP BY model""")
+def quantile_regression_band(spark, sf):
+    """Bands between the fitted 10 % and 90 % quantiles given the forecast and the season, learnt on the first two thirds of
+    the days, for every model; then widened month by month by the misses of earlier months. Met: the shares of training
+    rows below each quantile are within one point of its level, the coverage of held-out days within two of 80 %, and with
+    the widening at least 78 %."""
+    w = F.col("day") * F.lit(2 * math.pi / 365.25)
+    p = I.long_predictions(spark, sf).withColumns({"season_s": F.sin(w), "season_c": F.cos(w)})
+    ends = p.agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
+    p = series.attach(p, ends, []).withColumn("held_out", F.col("day") >= F.floor(F.col("_a") + (F.col("_b") - F.col("_a")) * 2 / 3)).drop("_a", "_b")
+    columns = ["pred", "season_s", "season_c"]
+    fit = QR.quantile_regression(p.where(~F.col("held_out")), ["model"], columns, "y", [0.1, 0.9])
+    band = E.conformal(QR.banded_by(p, fit, ["model"], columns, ["lo", "hi"]), ["model"])
+    share = lambda cond, where: F.avg(F.when(where, cond.cast("double"))) * 100
+    held, inside = F.col("held_out"), F.col("y").between(F.col("lo"), F.col("hi"))
+    s = band.groupBy("model").agg(
+        F.count(F.when(~held, 1)).alias("n_train"), F.count(F.when(held, 1)).alias("n_held_out"), share(F.col("y") < F.col("lo"), ~held).alias("_lo"),
+        share(F.col("y") < F.col("hi"), ~held).alias("_hi"), share(inside, held).alias("_held"),
+        share(F.col("y").between(F.col("lo_cal"), F.col("hi_cal")), held).alias("_cal"))
+    near = lambda c, level, by: F.abs(F.col(c) - level) <= by
+    return s.select("model", "n_train", "n_held_out", (near("_lo", 10, 1) & near("_hi", 90, 1)).alias("levels_met"), near("_held", 80, 2).alias("held_out_met"),
+                    (F.col("_cal") >= 78).alias("calibrated_met"))
+
+
 @query("leaderboard", f"""
 WITH s AS (SELECT model, avg(abs(pred - y) / y) * 100 AS m, sum(abs(pred - y)) / sum(y) * 100 AS w, sum(pred - y) / sum(y) * 100 AS b
   FROM v_lpred GROUP BY model)
