@@ -141,24 +141,33 @@ def strength(parts: DataFrame, keys: list[str]) -> DataFrame:
 def hinge_scan(df: DataFrame, x: str, y: str, lo: float, hi: float, step: float) -> DataFrame:
     """SSE of y ~ 1 + (x - knot)+ on a grid of knots; the best knot is ``min_by``.
 
-    Rows fan out over the fixed knot grid and fold at once into seven sums per knot map-side.
+    A row adds to the moments of one bucket between two knots. What a knot needs are the moments of all buckets above it:
+    suffix sums over the rows of the grid.
     """
     n = int(round((hi - lo) / step)) + 1
-    knots = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_i")
-    fan = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).alias("_x"), F.col(y).alias("_y"), knots)
-    knot = F.round(F.lit(lo) + F.col("_i") * F.lit(step), 6)
-    z = F.greatest(F.col("_x") - knot, F.lit(0.0))
-    s = fan.withColumn("knot", knot).withColumn("_z", z).groupBy("knot").agg(
-        F.regr_syy("_y", "_z").alias("syy"), F.regr_sxy("_y", "_z").alias("sxy"), F.regr_sxx("_y", "_z").alias("sxx"))
+    u = F.col("_x") - F.lit(lo)
+    bucket = F.least(F.greatest(F.ceil(u / F.lit(step)), F.lit(0)), F.lit(n))  # the number of knots below x
+    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    moments = {"_n": F.lit(1.0), "_u": u, "_uu": u * u, "_yu": u * F.col("_y"), "_sy": F.col("_y"), "_yy": F.col("_y") * F.col("_y")}
+    sums = known.groupBy(bucket.cast("bigint").alias("_b")).agg(*[F.sum(c).alias(k) for k, c in moments.items()])
+    every = df.sparkSession.range(n + 1).withColumnRenamed("id", "_b").join(sums, "_b", "left")
+    order = Window.orderBy(F.desc("_b"))  # a row for each knot
+    above = every.select("_b", *[F.coalesce(F.sum(k).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias(k) for k in moments],
+                         *[F.coalesce(F.sum(k).over(Window.orderBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.lit(0.0)).alias(f"{k}_all")
+                           for k in ("_n", "_sy", "_yy")]).where(F.col("_b") < n)
+    k, count = F.col("_b") * F.lit(step), F.col("_n_all")
+    z, zz, zy = F.col("_u") - k * F.col("_n"), F.col("_uu") - 2 * k * F.col("_u") + k * k * F.col("_n"), F.col("_yu") - k * F.col("_sy")
+    s = above.where(count > 0).select(F.round(F.lit(lo) + F.col("_b") * F.lit(step), 6).alias("knot"), (F.col("_yy_all") - F.col("_sy_all") * F.col("_sy_all") / count).alias("syy"),
+                                      (zy - z * F.col("_sy_all") / count).alias("sxy"), (zz - z * z / count).alias("sxx"))
     sse = F.col("syy") - F.coalesce(F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx")), F.lit(0.0))
     return s.select("knot", sse.alias("sse"), F.try_divide("sxy", "sxx").alias("slope"))
 
 
 def binned(df: DataFrame, x: str, y: str, lo: float, width: float, bins: int, by: list[str] | None = None) -> DataFrame:
-    """Mean and count of y per (lo, lo + w] bin of x."""
-    b = bin_right(x, lo, width)
-    inside = df.withColumn("bin", b).where((F.col("bin") >= 0) & (F.col("bin") < bins))
-    return inside.groupBy("bin", *(by or [])).agg(F.avg(y).alias("mean"), F.count(y).alias("n"))
+    """Mean and count of y per (lo, lo + w] bin of x; smaller values are in bin -1, larger ones in bin ``bins``."""
+    b = F.least(F.greatest(bin_right(x, lo, width), F.lit(-1)), F.lit(bins))
+    known = df.where(F.col(x).isNotNull()).withColumn("bin", b)
+    return known.groupBy("bin", *(by or [])).agg(F.avg(y).alias("mean"), F.count(y).alias("n"))
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -39,6 +39,13 @@ def attach(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn("_row", row).select(*df.columns, *[F.col("_row")[n].alias(n) for n in names])
 
 
+def _spread(df: DataFrame, pos: str, lo: int, hi: int, chunk: int) -> DataFrame:
+    """Rows in their own chunk (``_home`` = ``_chunk``) and in those that look at them from ``lo`` to ``hi`` positions away."""
+    p = F.col(pos)
+    copies = F.sequence(F.floor((p - max(hi, 0)) / chunk), F.floor((p - min(lo, 0)) / chunk))
+    return df.withColumn("_home", F.floor(p / chunk)).withColumn("_chunk", F.explode(copies))
+
+
 def banded(df: DataFrame, keys: list[str], pos: str, frames: dict[str, Frame], chunk: int = HOUR_CHUNK,
            where: Column | None = None) -> DataFrame:
     """Add window aggregates over position ranges.
@@ -46,11 +53,7 @@ def banded(df: DataFrame, keys: list[str], pos: str, frames: dict[str, Frame], c
     ``frames`` maps output name -> (lo, hi, fn); ``fn(window)`` builds the column over rows whose position lies in
     [pos + lo, pos + hi]. All frames share one shuffle and one sort. ``where`` keeps only some rows afterwards.
     """
-    lo = min(0, *(f[0] for f in frames.values()))
-    hi = max(0, *(f[1] for f in frames.values()))
-    p = F.col(pos)
-    copies = F.sequence(F.floor((p - hi) / chunk), F.floor((p - lo) / chunk))
-    spread = df.withColumn("_home", F.floor(p / chunk)).withColumn("_chunk", F.explode(copies))
+    spread = _spread(df, pos, min(f[0] for f in frames.values()), max(f[1] for f in frames.values()), chunk)
     w = Window.partitionBy(*keys, "_chunk").orderBy(pos)
     out = spread.select("*", *[fn(w.rangeBetween(a, b)).alias(name) for name, (a, b, fn) in frames.items()])
     keep = F.col("_chunk") == F.col("_home")
@@ -127,13 +130,28 @@ def runs(df: DataFrame, keys: list[str], pos: str, starts: Column, payload: dict
          chunk: int = HOUR_CHUNK) -> DataFrame:
     """Add ``run_start``: the position where the current run began.
 
-    ``starts`` may use ``prev_<name>`` of the payload; a row with no predecessor always starts a run.
+    ``starts`` may use ``prev_<name>`` of the payload; a row with no predecessor always starts a run. One sorted scan of the
+    chunks marks the starts inside them and sums every chunk up in a row (its first row, its last payload, its last start
+    inside); a scan of these rows alone tells whether a chunk's first row starts a run and which run it goes on with.
     """
-    with_prev = previous_row(df, keys, pos, {**payload, "row_pos": F.col(pos)}, chunk)
-    begins = F.col("prev_row_pos").isNull() | F.coalesce(starts, F.lit(True))
-    marked = with_prev.withColumn("_begins", begins).drop("prev_row_pos", *[f"prev_{n}" for n in payload])
-    out = carry(marked, keys, pos, F.col("_begins"), {"run": F.col(pos)}, chunk)
-    return out.withColumnRenamed("prev_run", "run_start").drop("_begins")
+    w = Window.partitionBy(*keys, "_chunk").orderBy(pos)
+    begins = F.coalesce(starts, F.lit(True))
+    marked = df.withColumn("_chunk", F.floor(F.col(pos) / chunk)).select(
+        "*", F.row_number().over(w).alias("_i"), *[F.lag(col(c)).over(w).alias(f"prev_{n}") for n, c in payload.items()])
+    marked = marked.withColumn("_at", F.when((F.col("_i") > 1) & begins, F.col(pos))).drop(*[f"prev_{n}" for n in payload])
+    marked = marked.withColumn("_inside", F.last("_at", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = F.struct(*[col(c).alias(n) for n, c in payload.items()])
+    chunks = marked.groupBy(*keys, "_chunk").agg(F.min_by(F.struct(*df.columns), pos).alias("_row"), F.max_by(ends, pos).alias("_last"),
+                                                 F.max("_inside").alias("_inside"))
+    across = Window.partitionBy(*keys).orderBy("_chunk")
+    first = chunks.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_chunk", "_row", "_inside", F.lag("_last").over(across).alias("_before")).select(
+        *[f"_of_{k}" for k in keys], "_chunk", "_inside", "_before", "_row.*", *[F.col("_before")[n].alias(f"prev_{n}") for n in payload])
+    own = F.when(F.col("_before").isNull() | begins, F.col(pos))
+    first = first.select(*[F.col(f"_of_{k}").alias(k) for k in keys], "_chunk", own.alias("_own"), F.coalesce("_inside", own).alias("_end"))
+    going = F.last("_end", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    open_run = first.select(*keys, "_chunk", F.coalesce("_own", going).alias("_open"))
+    out = attach(marked, open_run, [*keys, "_chunk"])
+    return out.withColumn("run_start", F.coalesce("_inside", "_open")).drop("_chunk", "_i", "_at", "_inside", "_open")
 
 
 def run_lengths(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
@@ -174,25 +192,43 @@ def interpolate(df: DataFrame, keys: list[str], pos: str, value: str, limit: int
     return near.withColumn(out, filled).drop("prev_p", "prev_v", "next_p", "next_v")
 
 
+def sliding(df: DataFrame, keys: list[str], pos: str, value: str, lo: int, hi: int, chunk: int = HOUR_CHUNK) -> DataFrame:
+    """Add ``_n``, ``_m``, ``_s``: count, mean and sample deviation of the values from ``lo`` to ``hi`` positions away.
+
+    Differences of two running sums inside a chunk, so a row costs the same whatever the width. Values enter as
+    deviations from the chunk's mean, which keeps the sums small; a variance that rounding alone could make is zero.
+    NaN is a missing value.
+    """
+    group = Window.partitionBy(*keys, "_chunk")
+    w, v = group.orderBy(pos), F.when(~F.isnan(F.col(value).cast("double")), F.col(value).cast("double"))
+    spread = _spread(df, pos, lo, hi, chunk).withColumn("_v", v).withColumn("_anchor", F.avg("_v").over(group))
+
+    def between(c: Column) -> Column:
+        upto = [F.coalesce(F.sum(c).over(w.rangeBetween(Window.unboundedPreceding, at)), F.lit(0.0)) for at in (hi, lo - 1)]
+        return upto[0] - upto[1]
+
+    d = F.col("_v") - F.col("_anchor")
+    sums = spread.select("*", between(F.col("_v").isNotNull().cast("double")).cast("bigint").alias("_n"), between(d).alias("_d1"),
+                         between(d * d).alias("_d2")).where(F.col("_chunk") == F.col("_home"))
+    spare = F.col("_d2") - F.try_divide(F.col("_d1") * F.col("_d1"), F.col("_n"))
+    var = F.when(spare > F.col("_d2") * 1e-11, spare).otherwise(F.lit(0.0))
+    return sums.withColumns({
+        "_m": F.when(F.col("_n") > 0, F.col("_anchor") + F.try_divide("_d1", "_n")),
+        "_s": F.when(F.col("_n") > 1, F.sqrt(F.try_divide(var, F.col("_n") - 1)))}).drop("_chunk", "_home", "_v", "_anchor", "_d1", "_d2")
+
+
 def centred_mean(df: DataFrame, keys: list[str], pos: str, value: str, width: int, least: int | None = None,
                  out: str = "level", chunk: int = DAY_CHUNK) -> DataFrame:
     """Centred moving mean over ``width`` positions (an even width reaches one further back than ahead)."""
-    lo, hi = -(width // 2), (width - 1) // 2
     least = width if least is None else least
-    full = banded(df, keys, pos, {
-        "_n": (lo, hi, lambda w: F.count(value).over(w)),
-        "_m": (lo, hi, lambda w: F.avg(value).over(w))}, chunk)
-    return full.withColumn(out, F.when(F.col("_n") >= least, F.col("_m"))).drop("_n", "_m")
+    full = sliding(df, keys, pos, value, -(width // 2), (width - 1) // 2, chunk)
+    return full.withColumn(out, F.when(F.col("_n") >= least, F.col("_m"))).drop("_n", "_m", "_s")
 
 
 def rolling(df: DataFrame, keys: list[str], pos: str, value: str, width: int, shift: int, least: int,
             prefix: str = "roll", chunk: int = HOUR_CHUNK) -> DataFrame:
     """Mean and sample deviation of the ``width`` positions ending ``shift`` before each row."""
-    lo, hi = -(shift + width - 1), -shift
-    full = banded(df, keys, pos, {
-        "_n": (lo, hi, lambda w: F.count(value).over(w)),
-        "_m": (lo, hi, lambda w: F.avg(value).over(w)),
-        "_s": (lo, hi, lambda w: F.stddev_samp(value).over(w))}, chunk)
+    full = sliding(df, keys, pos, value, -(shift + width - 1), -shift, chunk)
     enough = F.col("_n") >= least
     made = {f"{prefix}_mean": F.when(enough, F.col("_m")), f"{prefix}_std": F.when(enough, F.col("_s"))}
     return full.withColumns(made).drop("_n", "_m", "_s")

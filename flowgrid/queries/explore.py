@@ -144,8 +144,8 @@ def hinge_best(spark, sf):
 
 @query("binned_response", f"""
 SELECT bin, CAST(h % 24 AS INTEGER) AS hour, {R('avg(demand)')} AS mean, count(demand) AS n FROM (
-  SELECT CAST(ceil((o.temperature - 0) / 10.0) - 1 AS INTEGER) AS bin, d.h, d.demand FROM v_total d JOIN v_obs o ON o.h = d.h)
-WHERE bin >= 0 AND bin < 20 GROUP BY ALL""")
+  SELECT CAST(greatest(least(ceil((o.temperature - 0) / 10.0) - 1, 20), -1) AS INTEGER) AS bin, d.h, d.demand FROM v_total d JOIN v_obs o ON o.h = d.h)
+GROUP BY ALL""")
 def binned_response(spark, sf):
     both = I.demand_total(spark, sf).join(I.weather_obs(spark, sf), "h").withColumn("hour", hour_of_day("h"))
     return out(X.binned(both, "temperature", "demand", 0, 10, 20, ["hour"]))
