@@ -236,43 +236,53 @@ def fit(family: str, df: DataFrame, keys: list[str], label: str = "y", ridge_alp
     raise ValueError(f"unknown model family {family!r}")
 
 
-def permute_group(df: DataFrame, row_id: list[str], columns: list[str], seed: int, bucket_rows: int = 20_000) -> DataFrame:
-    """Shuffle a group of columns jointly between rows, without a global sort.
+def permuted(df: DataFrame, row_id: list[str], columns: list[str], seeds: list[int], bucket_rows: int = 20_000) -> DataFrame:
+    """Every row of ``df`` once for each seed (``_seed``), with ``_other``: the ``columns`` of the row that the seed's permutation
+    puts in its place. All permutations are one table, made without a global sort.
 
-    Rows are numbered twice inside hash buckets - once by row id, once by a seeded hash - and the k-th row of one
-    order takes the columns of the k-th row of the other. The two bucket assignments use independent hashes of the
-    row id; bucket sizes differ, so ranks are made global with the offsets of the buckets, one row for ``bucket_rows``.
+    Rows are numbered twice inside hash buckets - once by a seeded hash of the row id, once by an independent one - and
+    the k-th row of one order takes the columns of the k-th row of the other. Bucket sizes differ, so ranks are made
+    global with the offsets of the buckets, one row for ``bucket_rows`` and seed.
     """
     from pyspark.sql import Window
 
     buckets = -(-df.count() // bucket_rows) or 1
+    each = F.explode(F.array(*[F.lit(s) for s in seeds])).alias("_seed")
+
+    def ranked(side: DataFrame, salt: int) -> DataFrame:
+        h = F.xxhash64(*row_id, F.col("_seed") * 2 + salt)
+        b = side.select("*", each).withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
+        size = b.groupBy("_seed", "_b").agg(F.count("*").alias("_n"))
+        off = size.select("_seed", "_b", (F.sum("_n").over(Window.partitionBy("_seed").orderBy("_b")) - F.col("_n")).alias("_off"))
+        rn = F.row_number().over(Window.partitionBy("_seed", "_b").orderBy("_h", *row_id))
+        return b.withColumn("_rn", rn).join(off, ["_seed", "_b"]).withColumn("_k", F.col("_rn") + F.col("_off")).drop("_h", "_b", "_rn", "_off")
+
+    right = ranked(df.select(*row_id, *[c for c in columns if c not in row_id]), 2).select("_seed", "_k", F.struct(*columns).alias("_other"))
+    return ranked(df, 1).join(right, ["_seed", "_k"]).select(*df.columns, "_seed", "_other")
 
-    def ranked(tag: str, side: DataFrame, salt: int) -> DataFrame:
-        h = F.xxhash64(*row_id, F.lit(salt))
-        b = side.withColumn("_h", h).withColumn("_b", F.pmod(h, F.lit(buckets)))
-        size = b.groupBy("_b").agg(F.count("*").alias("_n"))
-        off = size.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_off"))
-        rn = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *row_id))
-        return b.withColumn("_rn", rn).join(off, "_b").withColumn("_k", F.col("_rn") + F.col("_off")).drop(
-            "_h", "_b", "_rn", "_off")
 
-    left = ranked("a", df.drop(*columns), seed * 2 + 1)
-    right = ranked("b", df.select(*row_id, *columns), seed * 2 + 2).select("_k", *columns)
-    return left.join(right, "_k").drop("_k").select(*df.columns)
+def permute_group(df: DataFrame, row_id: list[str], columns: list[str], seed: int, bucket_rows: int = 20_000) -> DataFrame:
+    """Shuffle a group of columns jointly between rows."""
+    both = permuted(df, row_id, columns, [seed], bucket_rows)
+    return both.select(*[F.col("_other")[c].alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def permutation_importance(model: Fitted, df: DataFrame, row_id: list[str], groups: dict[str, list[str]],
                            repeats: int = 3) -> list[tuple[str, float]]:
-    """Mean rise of the MAPE when a group of features is shuffled jointly, largest first."""
+    """Mean rise of the MAPE when a group of features is shuffled jointly, largest first.
+
+    All repeats come from one table of permutations. A row is scored once for each repeat and group, with the other row's
+    values in the columns of that group alone, and everything is added up in one aggregate. Groups share no column.
+    """
     from flowgrid.operators.evaluate import mape
 
+    owner = {c: name for name, cols in groups.items() for c in cols}
     base = model.predict(df).agg(mape().alias("m")).first()["m"]
-    out = []
-    for name, cols in groups.items():
-        rises = [model.predict(permute_group(df, row_id, cols, s)).agg(mape().alias("m")).first()["m"] - base
-                 for s in range(repeats)]
-        out.append((name, sum(rises) / repeats))
-    return sorted(out, key=lambda p: -p[1])
+    rows = permuted(df, row_id, list(owner), list(range(repeats))).withColumn("_group", F.explode(F.array(*[F.lit(g) for g in groups])))
+    swapped = rows.select("_seed", "_group", *[F.when(F.col("_group") == owner[c], F.col("_other")[c]).otherwise(F.col(c)).alias(c)
+                                               if c in owner else F.col(c) for c in df.columns])
+    scores = model.predict(swapped).groupBy("_group", "_seed").agg(mape().alias("m")).groupBy("_group").agg(F.avg("m").alias("m")).collect()
+    return sorted(((r["_group"], r["m"] - base) for r in scores), key=lambda p: -p[1])
 
 
 # Names of the groups whose joint shuffle is reported, each with the stems of its features; a feature

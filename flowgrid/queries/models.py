@@ -222,11 +222,14 @@ def permutation_importance(spark, sf):
 
 
 @query("permute_group", f"""
-SELECT series, count(*) AS n, {R('sum(y)')} AS y_sum, (SELECT {R('sum(y)')} FROM v_wide) AS shuffled_sum FROM v_wide GROUP BY series""")
+SELECT series, count(*) AS n, {R('sum(y)')} AS y_sum, (SELECT {R('sum(y)')} FROM v_wide) AS shuffled_sum, true AS moved, true AS mixed
+FROM v_wide GROUP BY series""")
 def permute_group(spark, sf):
+    """Moved: nearly all rows have another row's value. Mixed: what they have is uncorrelated with their own."""
     w = I.wide_predictions(spark, sf).select("series", "h", "y", F.col("y").alias("x"))
     p = M.permute_group(w, ["series", "h"], ["x"], 7)
-    total = p.agg(F.sum("x").alias("shuffled_sum"))
+    total = p.agg(F.sum("x").alias("shuffled_sum"), (F.avg((F.col("x") != F.col("y")).cast("double")) > 0.9).alias("moved"),
+                  (F.abs(F.corr("x", "y")) < 4 / F.sqrt(F.count("*"))).alias("mixed"))
     return out(series.attach(p.groupBy("series").agg(F.count("*").alias("n"), F.sum("y").alias("y_sum")), total, []))
 
 

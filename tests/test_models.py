@@ -147,3 +147,30 @@ def test_growth_trend_of_thin_series(spark):
 def test_summaries_keep_null_keys(spark):
     df = spark.createDataFrame([(None, 1, 2.0, 3.0), ("a", 1, 2.0, 1.0)], "k string, h int, y double, pred double")
     assert {r["k"] for r in E.metrics(df, ["k"]).collect()} == {None, "a"}
+
+
+def test_permutation_importance_equals_the_loop(spark):
+    rng = np.random.default_rng(1)
+    n = 300
+    d = pd.DataFrame({"h": np.arange(n), "a": rng.normal(size=n), "b": rng.normal(size=n), "c": rng.normal(size=n)})
+    d["y"] = 100 + 10 * d.a + 3 * d.b
+    df = spark.createDataFrame(d)
+
+    class Plain:
+        def predict(self, frame):
+            return frame.withColumn("pred", 100 + 10 * F.col("a") + 3 * F.col("b"))
+
+    groups = {"big": ["a", "c"], "small": ["b"], "none": []}
+    got = dict(M.permutation_importance(Plain(), df, ["h"], groups, repeats=2))
+    for name, cols in groups.items():
+        rises = [Plain().predict(M.permute_group(df, ["h"], cols, s) if cols else df).agg(E.mape().alias("m")).first()["m"] for s in range(2)]
+        assert np.isclose(got[name], np.mean(rises)), name
+    assert got["big"] > got["small"] > 1 and abs(got["none"]) < 1e-9
+
+
+def test_all_permutations_are_one_to_one(spark):
+    df = spark.range(500).selectExpr("id", "id AS x")
+    rows = M.permuted(df, ["id"], ["x"], [0, 1, 5], bucket_rows=40).selectExpr("_seed", "id", "_other.x AS x").toPandas()
+    for _, g in rows.groupby("_seed"):
+        assert sorted(g.x) == sorted(g.id) == list(range(500)) and (g.x == g.id).mean() < 0.05
+    assert rows.pivot(index="id", columns="_seed", values="x").nunique(axis=1).mean() > 2.9
