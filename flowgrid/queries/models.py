@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowgrid.config import Decisions, Project, Quality, Training
 from flowgrid.functions.scalars import above
-from flowgrid.functions.timefns import day_date, day_of_hour, hour_of_day, hour_pos, weekday_of
+from flowgrid.functions.timefns import day_date, day_of_hour, hour_of_day, hour_pos, hour_ts, weekday_of
 from flowgrid.operators import decide as D
 from flowgrid.operators import evaluate as E
 from flowgrid.operators import explore as X
@@ -354,6 +354,48 @@ def stream_dedupe(spark, sf):
     return out(spark.read.parquet(f"{root}/latest").select("series", "h", "event_id"))
 
 
+def _in_three(spark, rows, root, by):
+    """A stream of three micro-batches that hold the rows for which ``by`` is 0, 1 and 2."""
+    from flowgrid.streaming import streams
+
+    for part in range(3):
+        rows.where(by == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return streams.source(spark, f"{root}/in", ", ".join(f"{n} {t}" for n, t in rows.dtypes), files_per_batch=1)
+
+
+@query("stream_newest", f"SELECT series, {TS('h')} AS ts, max(event_id) AS event_id, max(event_id % 3) >= 0 AS changed FROM v_ev GROUP BY ALL")
+def stream_newest(spark, sf):
+    """Newest version of every key by keyed state, over three micro-batches that split every key between them."""
+    from flowgrid.streaming import streams
+
+    root = shared_folder(spark, "newest")
+    rows = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_type").alias("series"), hour_pos("ts").alias("h"), "event_id", "ts")
+    stream = _in_three(spark, rows, root, F.col("event_id") % 3)
+    streams.run(streams.newest(stream, ["series", "h"], "event_id", "ts", "3650 days"), f"{root}/_cp", f"{root}/log")
+    log = spark.read.parquet(f"{root}/log").groupBy("series", "h").agg(F.max("event_id").alias("event_id"), (F.count("*") >= 1).alias("changed"))
+    return out(log.select("series", "h", "event_id", "changed"))
+
+
+@query("stream_runs", f"""
+WITH b AS (SELECT series, h, d, CASE WHEN d = lag(d) OVER w AND h - lag(h) OVER w = 1 THEN 0 ELSE 1 END AS brk
+  FROM (SELECT series, h, floor(demand / 50) AS d FROM v_demand) WINDOW w AS (PARTITION BY series ORDER BY h)),
+r AS (SELECT *, sum(brk) OVER (PARTITION BY series ORDER BY h) AS run FROM b)
+SELECT series, {TS('min(h)')} AS run_start, count(*) AS hours FROM r GROUP BY series, run HAVING count(*) >= 2""")
+def stream_runs(spark, sf):
+    """Runs of equal demand classes over three micro-batches in order of time, cut anywhere within a run."""
+    from flowgrid.streaming import streams
+
+    root = shared_folder(spark, "runs")
+    d = I.demand(spark, sf).select("series", F.col("h").cast("bigint").alias("h"), F.floor(F.col("demand") / 50).cast("double").alias("class"), hour_ts("h").alias("ts"))
+    ends = d.agg(F.min("h").alias("_a"), F.max("h").alias("_b"))
+    part = F.least(F.floor((F.col("h") - F.col("_a")) * 3 / (F.col("_b") - F.col("_a"))), F.lit(2)).alias("_part")
+    d = series.attach(d, ends, []).select("series", "h", "class", "ts", part)
+    stream = _in_three(spark, d, root, F.col("_part"))
+    streams.run(streams.run_starts(stream, ["series"], "h", "class", "ts"), f"{root}/_cp", f"{root}/out")
+    runs = spark.read.parquet(f"{root}/out").groupBy("series", "run_start").agg(F.count("*").alias("hours")).where("hours >= 2")
+    return runs.select("series", hour_ts("run_start").alias("run_start"), "hours")
+
+
 @query("stream_repeats", "SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY event_type")
 def stream_repeats(spark, sf):
     from flowgrid.streaming import streams

@@ -6,11 +6,13 @@ folder on shared storage, so a restarted query continues where the lost one stop
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from flowgrid.functions.timefns import hour_ts, utc_instant
 from flowgrid.operators.series import latest_wins
@@ -61,6 +63,72 @@ def latest_version(spark: SparkSession, stream: DataFrame, checkpoint: str, path
     run(stream, checkpoint, each=each, mode="update")
 
 
+def newest(stream: DataFrame, keys: list[str], order: str, ts: str, keep: str = "2 days") -> DataFrame:
+    """Versions of rows that are newer, by ``order``, than all versions of their key seen before, across micro-batches.
+
+    The newest ``order`` of a key is keyed state; stored rows are not read again. A timer drops it once the watermark has
+    passed ``keep`` after the newest version's ``ts``; versions older than the watermark are dropped as late. ``keep`` must
+    therefore cover the time over which versions of a key arrive. Equal orders count as seen.
+    """
+    rank = T_.StructType([T_.StructField("best", stream.schema[order].dataType)])
+    schema = stream.schema
+
+    def each(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = state.get[0] if state.exists else None
+        found, last = None, 0
+        for frame in frames:
+            last = max(last, int(frame["_ms"].max()))
+            top = frame.loc[frame[order].idxmax()] if frame[order].notna().any() else None
+            if top is not None and (best is None or top[order] > best):
+                best, found = top[order], frame.loc[[top.name], list(schema.names)]
+        if found is not None:
+            state.update((best.item() if hasattr(best, "item") else best,))
+            yield found
+        if state.exists:
+            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + 1)
+
+    timed = stream.withColumn("_at", utc_instant(ts)).withWatermark("_at", keep).withColumn("_ms", F.unix_millis("_at"))
+    return timed.groupBy(*keys).applyInPandasWithState(each, schema, rank, "append", "EventTimeTimeout")
+
+
+def run_starts(stream: DataFrame, keys: list[str], pos: str, value: str, ts: str, keep: str = "2 days") -> DataFrame:
+    """keys, ``pos``, ``value`` and ``run_start``, the position where the run of equal values one position apart began, across
+    micro-batches. The end of a series' last run is keyed state, dropped by a timer ``keep`` after it. Positions must not
+    decrease from one micro-batch to the next; a row that comes too late for that has no ``run_start``.
+    """
+    field = lambda n, kind: T_.StructField(n, kind)
+    known = [stream.schema[c] for c in (*keys, pos, value)]
+    end = T_.StructType([field("at", T_.LongType()), field("value", T_.DoubleType()), field("start", T_.LongType())])
+    schema = T_.StructType([*known, field("run_start", T_.LongType())])
+
+    def each(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames)).sort_values(pos, kind="stable")  # one series' share of a micro-batch
+        at, old, start = state.get if state.exists else (None, None, None)
+        late = rows[pos] <= at if at is not None else pd.Series(False, rows.index)
+        fresh = rows[~late]
+        starts = []
+        for p, v in zip(fresh[pos].tolist(), fresh[value].tolist(), strict=True):
+            same = at is not None and p - at == 1 and v == old
+            start = start if same else p
+            at, old = p, v
+            starts.append(start)
+        out = pd.concat([fresh.assign(run_start=starts), rows[late].assign(run_start=None)])
+        out["run_start"] = out["run_start"].astype("Int64")
+        if starts:
+            state.update((int(at), None if old is None or pd.isna(old) else float(old), int(start)))
+        state.setTimeoutTimestamp(max(int(rows["_ms"].max()), state.getCurrentWatermarkMs()) + 1)
+        yield out[list(schema.names)]
+
+    timed = stream.withColumn("_at", utc_instant(ts)).withWatermark("_at", keep).withColumn("_ms", F.unix_millis("_at"))
+    return timed.groupBy(*keys).applyInPandasWithState(each, schema, end, "append", "EventTimeTimeout")
+
+
 def hourly(stream: DataFrame, keys: list[str], ts: str, value: str, delay: str = "1 hour",
            kind: str = "decimal(28,9)") -> DataFrame:
     """Closed hourly windows per series; a window is final once the watermark has passed its end. Values are added as
