@@ -181,13 +181,13 @@ def feat_lag24_whatif(spark, sf):
     return out(FE.what_if_lag24(targets(spark, sf), I.demand(spark, sf), ["series"]))
 
 
-@query("feat_relative_level", f"""
-SELECT r.series, {TS('r.h')} AS ts, {R('r.rel')} AS rel, {R('r.demand / l.level')} AS rel_year FROM v_rel r
-JOIN (SELECT series, day, CASE WHEN count(y) OVER w >= 20 THEN avg(y) OVER w END AS level FROM v_dmean
-  WINDOW w AS (PARTITION BY series ORDER BY day RANGE BETWEEN 182 PRECEDING AND 182 FOLLOWING)) l
-  ON l.series = r.series AND l.day = r.day""")
+@query("feat_relative_level", f"SELECT series, {TS('h')} AS ts, {R('rel')} AS rel FROM v_rel")
 def feat_relative_level(spark, sf):
-    a = X.relative(I.demand(spark, sf), ["series"]).select("series", "h", "rel")
-    # one month of data: 20 days stand in for the 180 a year-long level needs
-    b = X.relative(I.demand(spark, sf), ["series"], width=365, least=20, out="rel_year").select("series", "h", "rel_year")
-    return out(a.join(b, ["series", "h"]))
+    return out(X.relative(I.demand(spark, sf), ["series"]).select("series", "h", "rel"))
+
+
+@query("feat_relative_year", f"SELECT {DT('day')} AS date, {R('y / level365')} AS rel_year FROM v_llevel")
+def feat_relative_year(spark, sf):
+    """Relative to the year around a day, where 180 days of it are known."""
+    level = series.centred_mean(I.daily_long(spark, sf), [], "day", "y", 365, 180, "level")
+    return out(level.select("day", F.try_divide("y", "level").alias("rel_year")))

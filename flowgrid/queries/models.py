@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from dataclasses import replace
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -24,8 +25,6 @@ from flowgrid.sources import inputs as I
 from flowgrid.sources import tables as T
 from flowgrid.session import shared_folder
 
-SMALL_GBT = {"maxIter": 5, "stepSize": 0.3, "maxDepth": 4, "subsamplingRate": 0.8, "seed": 42}
-
 
 def frame(spark, sf):
     """Labelled feature rows with full lag history, stored once as the feature table of this run."""
@@ -131,18 +130,16 @@ def model_blend(spark, sf):
 def model_factory(spark, sf):
     data = frame(spark, sf)
     parts = None
-    for family in ("seasonal_naive_48", "seasonal_naive_168", "ridge_fourier"):
-        m = M.fit(family, data, ["series"]).predict(data).select(F.lit(family).alias("model"), "y", "pred")
+    for family in M.FAMILIES:
+        m = M.fit(family, data, ["series"], gbt=Training().gbt).predict(data).select(F.lit(family).alias("model"), "y", "pred")
         parts = m if parts is None else parts.unionByName(m)
     return out(E.metrics(parts, ["model"]))
 
 
 @query("train_select")
 def train_select(spark, sf):
-    p = Project(root=shared_folder(spark, "train"), series_keys=("series",),
-                training=Training(candidates=("seasonal_naive_168", "ridge_fourier", "ridge_interactions", "gbt_trend"),
-                                  holdout_days=2, gbt=SMALL_GBT),
-                decisions=Decisions(max_acceptable_mape=1e6))
+    """All candidates with the configured rounds, rules and ceiling; nine labelled days leave two for the holdout."""
+    p = Project(root=shared_folder(spark, "train"), series_keys=("series",), training=Training(holdout_days=2))
     training.select(spark, p, frame(spark, sf), "query")
     return spark.read.parquet(p.path("monitoring.model_selection")).select(
         "family", "mape", "wape", "rmse", "bias_pct", "peak_mape", "selected", "promoted", "decision")
@@ -166,6 +163,20 @@ def champion_challenger(spark, sf):
                                              (F.col("comparable") & rule).alias("promote")))
 
 
+@query("champion_challenger_fitted")
+def champion_challenger_fitted(spark, sf):
+    """Two training runs with the configured rules: the naive forecast becomes champion if the rules allow it, then fitted
+    ridges challenge it on the hours that it has not seen."""
+    p = Project(root=shared_folder(spark, "challenge"), series_keys=("series",), training=Training(candidates=("seasonal_naive_168",), holdout_days=7))
+    data = frame(spark, sf)
+    last = data.agg(F.max("h")).first()[0]
+    training.select(spark, p, data.where(F.col("h") <= last - 7 * 24), "first")
+    rivals = replace(p, training=Training(candidates=("ridge_fourier", "ridge_interactions"), holdout_days=7))
+    training.select(spark, rivals, data, "second")
+    return spark.read.parquet(p.path("monitoring.model_selection")).select(
+        "trigger", "family", "mape", "selected", "registered_version", "champion_version_before", "champion_mape_on_holdout", "promoted", "decision")
+
+
 @query("score_forecast", f"""
 WITH r AS (SELECT max(h // 24) + 1 AS a, max(h // 24) + 2 AS b FROM v_demand),
 t AS (SELECT series, unnest(generate_series(a * 24, b * 24 + 23)) AS h FROM (SELECT DISTINCT series FROM v_demand), r)
@@ -286,18 +297,20 @@ def daily_exog(spark, sf):
 
 
 # ---- pipeline --------------------------------------------------------------------------------------------------
-def _project(spark, name: str) -> Project:
+def _project(spark, name: str, first: date, last: date) -> Project:
     """Limits that fit the test data: sparse hours, spikes above 200, wide temperatures."""
-    return Project(root=shared_folder(spark, name), series_keys=("site_id",), history_start="2024-01-01",
-                   history_end="2024-01-27",
+    return Project(root=shared_folder(spark, name), series_keys=("site_id",), history_start=str(first), history_end=str(last),
                    quality=Quality(demand_max=200.0, temperature_min=0.0, temperature_max=1000.0, max_missing_pct=100.0))
 
 
 @query("run_daily")
 def run_daily(spark, sf):
-    p = _project(spark, "daily")
+    """A first load of the history up to three days before the end of the data, then a daily run at its last day."""
     feeds = {k: v.drop("row_id") for k, v in I.feeds(spark, sf).items()}
-    got = pipeline.run_daily(spark, p, feeds, datetime(2024, 1, 28, 9), "backfill")
+    first, last = (d.date() for d in feeds["consumption"].agg(F.min("timestamp_local"), F.max("timestamp_local")).first())
+    nine = lambda back: datetime.combine(last - timedelta(days=back), time(9))
+    p = _project(spark, "daily", first, last - timedelta(days=3))
+    got = pipeline.run_daily(spark, p, feeds, nine(2), "backfill")
     if got["gate"]:
         from flowgrid.plans.registry import Registry
 
@@ -308,7 +321,7 @@ def run_daily(spark, sf):
         reg = Registry(spark, p)
         reg.set_alias("champion", reg.register(model, {"holdout_mape": "10"}))
         pipeline.forecast(spark, p, "setup")
-        pipeline.run_daily(spark, p, feeds, datetime(2024, 1, 30, 9), "daily")
+        pipeline.run_daily(spark, p, feeds, nine(0), "daily")
         pipeline.monitor(spark, p)
     res = spark.read.parquet(p.path("monitoring.dq_results")).select(
         F.lit("gate").alias("step"), F.concat_ws(".", "table_name", "check_name").alias("item"),
@@ -444,7 +457,10 @@ SELECT series, {DT('h // 24')} AS date, {R('sum(CASE WHEN h // 24 >= (SELECT max
 FROM v_demand GROUP BY ALL""")
 def late_corrections(spark, sf):
     d = I.demand(spark, sf).withColumn("day", day_of_hour("h"))
-    stored = d.groupBy("series", "day").agg(F.sum("demand").alias("total"))
+    path = f"{shared_folder(spark, 'late')}/daily"
+    T.upsert(spark, d.groupBy("series", "day").agg(F.sum("demand").alias("total")), path, ["series", "day"], "day")
     d = series.attach(d, d.agg((F.max("day") - 1).alias("_from")), [])
     replay = d.where(F.col("day") >= F.col("_from")).groupBy("series", "day").agg(F.sum(F.col("demand") * 1.5).alias("total"))
-    return out(T.merged(stored, replay, ["series", "day"]))
+    for _ in range(2):  # a replay changes nothing
+        T.upsert(spark, replay, path, ["series", "day"], "day")
+    return out(spark.read.parquet(path).select("series", F.col("day").cast("bigint").alias("day"), "total"))

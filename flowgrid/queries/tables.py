@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -153,12 +154,47 @@ def duplicate_keys(spark, sf):
     return out(T.duplicate_keys(I.readings(spark, sf), ["series", "h"]))
 
 
-@query("append_lineage", """
-SELECT CAST(count(*) AS BIGINT) AS n, '20240130-00000001' AS _batch_id, CAST(count(DISTINCT series) AS BIGINT) AS sites
-FROM v_readings""")
+@query("append_lineage", f"""
+WITH m AS (SELECT (min(h // 24) + max(h // 24)) // 2 AS mid, max(h // 24) AS last FROM v_readings)
+SELECT strftime({DT('CASE WHEN h // 24 <= mid THEN mid ELSE last END')}, '%Y%m%d') || '-00000001' AS _batch_id, count(*) AS n,
+  count(DISTINCT series) AS sites, true AS stamped FROM v_readings, m GROUP BY ALL""")
 def append_lineage(spark, sf):
-    batch = T.with_lineage(I.readings(spark, sf), "20240130-00000001")
-    return batch.groupBy("_batch_id").agg(F.count("*").alias("n"), F.count_distinct("series").alias("sites"))
+    """Two deliveries appended to a stored table, the second one sent twice; each batch is named after its last day and is kept
+    once."""
+    path = f"{shared_folder(spark, 'lineage')}/readings"
+    rows = I.readings(spark, sf).withColumn("_day", day_of_hour("h"))
+    first, last = rows.agg(F.min("_day"), F.max("_day")).first()
+    mid = (first + last) // 2
+    for until, part in ((mid, F.col("_day") <= mid), (last, F.col("_day") > mid), (last, F.col("_day") > mid)):
+        batch = T.with_lineage(rows.where(part), f"{date(1970, 1, 1) + timedelta(days=until):%Y%m%d}-00000001")
+        if T.exists(spark, path):
+            batch = batch.join(F.broadcast(spark.read.parquet(path).select("_batch_id").distinct()), "_batch_id", "left_anti")  # a row for each batch
+        T.append(batch, path)
+    stored = spark.read.parquet(path)
+    stamped = F.min(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in stored.columns if c.startswith("_")]).cast("int")) == 1
+    return stored.groupBy("_batch_id").agg(F.count("*").alias("n"), F.count_distinct("series").alias("sites"), stamped.alias("stamped"))
+
+
+@query("ensure_tables", """
+SELECT 'consumption' AS name, count(*) AS n, count(DISTINCT series) AS places, true AS kept FROM v_readings
+UNION ALL SELECT 'weather_obs', count(*), 1, true FROM v_obs""")
+def ensure_tables(spark, sf):
+    """A database and the tables of two feeds, declared, filled, and declared again: what is stored stays."""
+    root = shared_folder(spark, "database")
+    db = f"flowgrid_{root.rsplit('-', 1)[1]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}'")
+    feeds, res = I.feeds(spark, sf), None
+    for name, place in (("consumption", "site_id"), ("weather_obs", "location")):
+        rows = feeds[name]
+        for turn in range(2):
+            T.ensure_database(spark, db)
+            T.ensure_table(spark, f"{db}.{name}", ", ".join(f"{c} {t}" for c, t in rows.dtypes))
+            if not turn:
+                rows.write.insertInto(f"{db}.{name}")
+        one = spark.table(f"{db}.{name}").agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.count_distinct(place).alias("places"))
+        one = one.withColumn("kept", F.lit(spark.catalog.tableExists(f"{db}.{name}")))
+        res = one if res is None else res.unionByName(one)
+    return res
 
 
 # ---- B ---------------------------------------------------------------------------------------------------------
