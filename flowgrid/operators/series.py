@@ -244,7 +244,8 @@ def latest_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def autocovariance(df: DataFrame, keys: list[str], pos: str, value: str, max_lag: int,
                    chunk: int = HOUR_CHUNK) -> DataFrame:
-    """Sums of x[t] * x[t+k] for k = 0..max_lag per series -> keys, lag, cross, pairs.
+    """Sums over the pairs (t, t + k) for k = 0..max_lag per series -> keys, lag, cross (products), pairs, early and late (sums of
+    the pairs' first and second values).
 
     Each chunk carries ``max_lag`` positions of its successor, so a task holds chunk + max_lag numbers whatever the
     length of the series, and emits one row per lag. Two values at one position raise.
@@ -264,29 +265,31 @@ def autocovariance(df: DataFrame, keys: list[str], pos: str, value: str, max_lag
         if len(np.unique(at)) < len(at):
             raise ValueError("a position holds several values; aggregate the series first")
         x[at], have[at] = pdf["_x"].to_numpy(), 1.0
-        lags = np.arange(max_lag + 1)
+        # row k of a view is the chunk shifted by k positions
+        x_later, have_later = (np.lib.stride_tricks.sliding_window_view(v, chunk)[:max_lag + 1] for v in (x, have))
         own, own_have = x[:chunk], have[:chunk]
-        out = pd.DataFrame({
-            "lag": lags,
-            "cross": [float(own @ x[k:k + chunk]) for k in lags],
-            "pairs": [int(own_have @ have[k:k + chunk]) for k in lags]})
+        out = pd.DataFrame({"lag": np.arange(max_lag + 1), "cross": x_later @ own, "pairs": (have_later @ own_have).astype(int),
+                            "early": have_later @ own, "late": x_later @ own_have})
         for k in keys:
             out[k] = pdf[k].iloc[0]
-        return out[[*keys, "lag", "cross", "pairs"]]
+        return out[[*keys, "lag", "cross", "pairs", "early", "late"]]
 
     types = dict(df.dtypes)
-    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], "lag int", "cross double", "pairs long"])
+    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], "lag int", "cross double", "pairs long", "early double", "late double"])
     part = spread.groupBy(*keys, "_chunk").applyInPandas(products, schema)
-    return part.groupBy(*keys, "lag").agg(F.sum("cross").alias("cross"), F.sum("pairs").alias("pairs"))
+    return part.groupBy(*keys, "lag").agg(*[F.sum(c).alias(c) for c in ("cross", "pairs", "early", "late")])
 
 
 def acf(df: DataFrame, keys: list[str], pos: str, value: str, max_lag: int, chunk: int = HOUR_CHUNK) -> DataFrame:
     """Autocorrelation r_k = sum (x_t - m)(x_{t+k} - m) / sum (x_t - m)^2 -> keys, lag, r.
 
-    Sums run over the pairs that exist; a lag no pair spans has no row.
+    Sums run over the pairs that exist; a lag no pair spans has no row. Values are added up as they are, in one pass; the
+    mean, which lag 0 holds, is taken out of the sums of a lag, a row each.
     """
-    mean = df.groupBy(*keys).agg(F.avg(value).alias("_mean"))
-    centred = attach(df, mean, keys).withColumn("_dev", F.col(value) - F.col("_mean"))
-    cross = autocovariance(centred, keys, pos, "_dev", max_lag, chunk)
-    total = cross.where(F.col("lag") == 0).select(*keys, F.col("cross").alias("_total"))
-    return attach(cross, total, keys).where(F.col("pairs") > 0).select(*keys, "lag", F.try_divide("cross", "_total").alias("r"))
+    sums = autocovariance(df, keys, pos, value, max_lag, chunk)
+    group = Window.partitionBy(*keys)
+    mean = F.max(F.when(F.col("lag") == 0, F.col("early") / F.col("pairs"))).over(group)
+    own = F.col("cross") - F.col("_m") * (F.col("early") + F.col("late")) + F.col("_m") * F.col("_m") * F.col("pairs")
+    centred = sums.withColumn("_m", mean).withColumn("_c", own)
+    total = F.max(F.when(F.col("lag") == 0, F.col("_c"))).over(group)
+    return centred.withColumn("_t", total).where(F.col("pairs") > 0).select(*keys, "lag", F.try_divide("_c", "_t").alias("r"))
