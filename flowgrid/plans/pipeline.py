@@ -225,6 +225,14 @@ def quality_gate(spark: SparkSession, p: Project, run_id: str, today: date, allo
     return bool(ok)
 
 
+def gated_write(spark: SparkSession, clean: DataFrame, results: DataFrame, path: str, keys: list[str], partition_by: str) -> bool:
+    """Upsert the clean rows of a batch if no blocking check failed; else the table stays as it is. Returns the verdict."""
+    passed = bool(scalar(results.agg(quality.verdict(results).alias("passed"))))
+    if passed:
+        T.upsert(spark, clean, path, keys, partition_by)
+    return passed
+
+
 def silver_inputs(spark: SparkSession, p: Project, plan=None) -> dict[str, DataFrame]:
     """Silver as the operators expect it, cut to the read-back ranges of the plan."""
     def since(df, day):

@@ -17,6 +17,7 @@ from flowgrid.operators import quantreg as QR
 from flowgrid.operators import series
 from flowgrid.operators.models import INTERACTION_ALPHA, linear_columns, seasonal_naive
 from flowgrid.operators.quantiles import exact_quantile
+from flowgrid.plans import dashboard
 from flowgrid.queries.base import DT, R, TS, out, query
 from flowgrid.queries.features import built
 from flowgrid.queries.tables import EID_TYPE
@@ -443,3 +444,44 @@ def dashboard_views(spark, sf):
     for p in pages[1:]:
         res = res.unionByName(p)
     return out(res)
+
+
+@query("dashboard_operations", f"""
+WITH d AS (SELECT series, h // 24 AS day, count(*) AS forecast_hours, sum(predicted_m3) AS total, CAST(arg_max(h % 24, (predicted_m3, -h)) AS INTEGER) AS peak_hour
+  FROM v_best GROUP BY series, h // 24),
+l AS (SELECT series, max(day) AS day FROM d GROUP BY series),
+a AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY forecast_day DESC) AS back FROM v_acc),
+s AS (SELECT series, count(*) AS scored_days, max(forecast_day) AS scored_day, max(mape) FILTER (back = 1) AS last_mape,
+  avg(mape) FILTER (back <= 7) AS recent_mape, max(mape) AS worst_mape FROM a GROUP BY series)
+SELECT d.series, {DT('d.day')} AS date, forecast_hours, {R('total', 3)} AS forecast_total, peak_hour, scored_days, {DT('scored_day')} AS scored_date,
+  {R('last_mape', 3)} AS last_mape, {R('recent_mape', 3)} AS recent_mape, {R('worst_mape', 3)} AS worst_mape FROM d JOIN l ON l.series = d.series AND l.day = d.day LEFT JOIN s ON s.series = d.series""")
+def dashboard_operations(spark, sf):
+    page = dashboard.operations(I.forecast_log(spark, sf), accuracy(spark, sf), ["series"])
+    return out(page.withColumn("scored_day", day_date("scored_day")).withColumnRenamed("scored_day", "scored_date"), 3)
+
+
+@query("dashboard_accuracy", f"""
+SELECT series, CAST(h % 24 AS INTEGER) AS hour, count(*) AS hours, {R('avg(abs_pct_error)', 4)} AS mape,
+  {R('sum(error_m3) / nullif(sum(actual_m3), 0) * 100', 4)} AS bias_pct, {R('avg(CAST(abs_pct_error > 20 AS INTEGER)) * 100', 4)} AS large_pct
+FROM v_rec GROUP BY ALL""")
+def dashboard_accuracy(spark, sf):
+    return out(dashboard.accuracy(hourly(spark, sf), ["series"]), 4)
+
+
+@query("dashboard_quality", f"""
+SELECT series, {DT('h // 24')} AS date, count(*) AS rows, count(*) FILTER (reason IS NULL) AS clean, count(*) FILTER (reason = 'null_value') AS null_value,
+  count(*) FILTER (reason = 'out_of_range') AS out_of_range, count(*) FILTER (reason = 'duplicate_key') AS duplicate_key,
+  count(*) FILTER (reason = 'frozen_value') AS frozen_value FROM v_tagged GROUP BY ALL""")
+def dashboard_quality(spark, sf):
+    from flowgrid.operators.quality import ROW_RULES
+    from flowgrid.queries.tables import tagged_readings
+
+    return out(dashboard.quality(tagged_readings(spark, sf), ROW_RULES, ["series"]))
+
+
+@query("dashboard_models", f"""
+WITH i AS (SELECT model_version, CAST((h // 24 + 3) // 7 AS INTEGER) AS week, count(*) AS issued FROM v_log GROUP BY ALL),
+u AS (SELECT model_version, CAST((h // 24 + 3) // 7 AS INTEGER) AS week, count(*) AS used, avg(abs_pct_error) AS mape FROM v_rec GROUP BY ALL)
+SELECT i.model_version, i.week, issued, coalesce(used, 0) AS used, {R('mape', 4)} AS mape FROM i LEFT JOIN u ON u.model_version = i.model_version AND u.week = i.week""")
+def dashboard_models(spark, sf):
+    return out(dashboard.models(I.forecast_log(spark, sf), hourly(spark, sf), ["series"]), 4)

@@ -172,3 +172,32 @@ def dq_rule_vs_note(spark, sf):
     note = F.when(F.col("demand").isNull(), "telemetry gap").when(F.col("demand") > 200, "spike").otherwise("ok")
     return t.groupBy(note.alias("note")).agg(F.count("*").alias("n"), *[
         F.count(F.when(F.col("reason") == r, 1)).alias(r) for r in ("null_value", "out_of_range", "duplicate_key")])
+
+
+@query("gate_silver", """
+WITH m AS (SELECT (min(h // 24) + max(h // 24)) // 2 AS mid FROM v_readings),
+c AS (SELECT h // 24 <= mid AS early, count(*) AS n FROM v_tagged, m WHERE reason IS NULL GROUP BY ALL)
+SELECT 1 AS step, true AS written, (SELECT n FROM c WHERE early) AS silver_rows
+UNION ALL SELECT 2, false, (SELECT n FROM c WHERE early) UNION ALL SELECT 3, true, (SELECT sum(n)::BIGINT FROM c)""")
+def gate_silver(spark, sf):
+    """Silver after three batches: the first half of the days is accepted; the second, with an outage of eight hours, is refused
+    by the completeness rule and leaves the table unchanged; sent again whole, it is accepted under a rule for sparse meters."""
+    from dataclasses import replace
+
+    from flowgrid.plans import pipeline
+    from flowgrid.session import shared_folder
+
+    path = f"{shared_folder(spark, 'gate')}/silver"
+    raw = I.readings(spark, sf).withColumn("p_day", day_of_hour("h").cast("string"))
+    ends = raw.agg(F.min(day_of_hour("h")), F.max(day_of_hour("h"))).first()
+    early = day_of_hour("h") <= (ends[0] + ends[1]) // 2
+    tagged = tagged_readings(spark, sf).withColumn("p_day", day_of_hour("h").cast("string"))
+    sparse, strict = replace(LIMITS, max_missing_pct=100.0), replace(LIMITS, max_missing_pct=0.0)
+    rows = []
+    for step, (part, limits) in enumerate(((early, sparse), (~early, strict), (~early, sparse)), 1):
+        fault = "meter_outage" if limits is strict else "none"
+        sent, clean = (Q.inject_fault(x.where(part), fault, "consumption") for x in (raw, Q.clean_rows(tagged)))
+        per = Q.completeness(sent, clean, ["series"], "h", limits)
+        written = pipeline.gated_write(spark, clean, Q.completeness_result(per, limits), path, ["row_id"], "p_day")
+        rows.append((step, written, spark.read.parquet(path).count()))
+    return spark.createDataFrame(rows, "step int, written boolean, silver_rows bigint")
