@@ -36,6 +36,8 @@ def _coarse(v: Column) -> Column:
 def _ranked(cells: DataFrame, keys: list[str], fold: bool) -> DataFrame:
     """keys, _for, _lo, _hi, _from, _upto, _m: the places that each cell's rows take among all ``_m`` rows of the folds before
     ``_for``. Cells (keys, _f, slot, _c, _lo, _hi) are disjoint ranges of values, so their ends order them."""
+    if keys:
+        cells = cells.repartition(*keys)  # the windows need a group's cells in one task anyway; all that follows stays there
     if fold:
         stack = (cells.withColumn("_folds", F.collect_set("_f").over(Window.partitionBy(*keys))).groupBy(*keys, "_a", "_b", "_x")
                  .agg(F.collect_list(F.struct("_f", "_c")).alias("_l"), F.first("_folds").alias("_folds"), F.min("_lo").alias("_lo"),
