@@ -41,7 +41,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote and that nothing reads any more: what was made of them is stored itself."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(name: str = "text") -> Column:
