@@ -139,10 +139,11 @@ def strength(parts: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def hinge_scan(df: DataFrame, x: str, y: str, lo: float, hi: float, step: float) -> DataFrame:
-    """SSE of y ~ 1 + (x - knot)+ on a grid of knots; the best knot is ``min_by``.
+    """SSE of y ~ 1 + (x - knot)+ on a grid of knots; the best knot is ``min_by`` of (sse, knot).
 
     A row adds to the moments of one bucket between two knots. What a knot needs are the moments of all buckets above it:
-    suffix sums over the rows of the grid.
+    suffix sums over the rows of the grid. Knots below every row fit alike, as they only shift x: they get one and the same
+    SSE, so rounding does not choose among them.
     """
     n = int(round((hi - lo) / step)) + 1
     u = F.col("_x") - F.lit(lo)
@@ -155,7 +156,8 @@ def hinge_scan(df: DataFrame, x: str, y: str, lo: float, hi: float, step: float)
     above = every.select("_b", *[F.coalesce(F.sum(k).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias(k) for k in moments],
                          *[F.coalesce(F.sum(k).over(Window.orderBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.lit(0.0)).alias(f"{k}_all")
                            for k in ("_n", "_sy", "_yy")]).where(F.col("_b") < n)
-    k, count = F.col("_b") * F.lit(step), F.col("_n_all")
+    count = F.col("_n_all")
+    k = F.when(F.col("_n") < count, F.col("_b") * F.lit(step)).otherwise(0.0)
     z, zz, zy = F.col("_u") - k * F.col("_n"), F.col("_uu") - 2 * k * F.col("_u") + k * k * F.col("_n"), F.col("_yu") - k * F.col("_sy")
     s = above.where(count > 0).select(F.round(F.lit(lo) + F.col("_b") * F.lit(step), 6).alias("knot"), (F.col("_yy_all") - F.col("_sy_all") * F.col("_sy_all") / count).alias("syy"),
                                       (zy - z * F.col("_sy_all") / count).alias("sxy"), (zz - z * z / count).alias("sxx"))

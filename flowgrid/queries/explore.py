@@ -137,7 +137,8 @@ SELECT {R('arg_min(knot, syy - sxy * sxy / sxx)')} AS knot, {R('arg_min(sxy / sx
 def hinge_best(spark, sf):
     both = I.demand_total(spark, sf).join(I.weather_obs(spark, sf), "h")
     s = X.hinge_scan(both, "temperature", "demand", 18, 32, 0.1)
-    b = s.agg(F.min_by("knot", "sse").alias("knot"), F.min_by("slope", "sse").alias("slope"))
+    best = F.struct("sse", "knot")  # the lowest of equal fits
+    b = s.agg(F.min_by("knot", best).alias("knot"), F.min_by("slope", best).alias("slope"))
     return b.select(F.round(F.col("knot") + F.lit(3.3e-9), 6).alias("knot"),
                     F.round(F.col("slope") + F.lit(3.3e-7), 4).alias("slope"))
 

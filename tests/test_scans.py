@@ -79,6 +79,15 @@ def test_hinge_scan_equals_least_squares_without_fan_out(spark):
     assert X.hinge_scan(df.limit(0), "x", "y", 18, 32, 0.1).count() == 0
 
 
+def test_hinge_knots_below_every_row_fit_alike(spark):
+    rng = np.random.default_rng(5)
+    x = rng.uniform(24.05, 90, 700)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, 5000 - 28 * x + rng.normal(0, 1, 700), strict=True)], "x double, y double")
+    scan = X.hinge_scan(df, "x", "y", 18, 32, 0.1).toPandas()
+    assert scan[scan.knot <= 24].sse.nunique() == 1 and scan[scan.knot >= 24.2].sse.nunique() == 79
+    assert scan.sort_values(["sse", "knot"]).knot.iloc[0] == 18
+
+
 def test_bins_keep_what_lies_outside(spark):
     df = spark.createDataFrame([(-5.0, 1.0), (0.0, 2.0), (0.5, 3.0), (20.0, 4.0), (99.0, 5.0), (None, 6.0)], "x double, y double")
     assert {r.bin: r.n for r in X.binned(df, "x", "y", 0, 10, 2).collect()} == {-1: 2, 0: 1, 1: 1, 2: 1}
