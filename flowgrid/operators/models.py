@@ -207,33 +207,50 @@ FAMILIES = ("seasonal_naive_168", "seasonal_naive_48", "ridge_fourier", "gbt", "
             "blend_ridge_gbt")
 
 
+#: The models of the families on the detrended target.
+TRENDED = {"gbt_trend": ("gbt",), "ridge_interactions": ("ridge",), "blend_ridge_gbt": ("gbt", "ridge"),
+           "random_forest_trend": ("forest",)}
+
+
 def fit(family: str, df: DataFrame, keys: list[str], label: str = "y", ridge_alpha: float = 1.0,
         gbt: dict | None = None, columns: list[str] | None = None, rank_error: float = 0.0) -> Fitted:
     """Fit a family by name on a feature frame with a label; an unknown name raises."""
+    return fit_all([family], df, keys, label, ridge_alpha, gbt, columns, rank_error)[family]
+
+
+def fit_all(families, df: DataFrame, keys: list[str], label: str = "y", ridge_alpha: float = 1.0,
+            gbt: dict | None = None, columns: list[str] | None = None, rank_error: float = 0.0) -> dict[str, Fitted]:
+    """Fit every family by name. Those on the detrended target share one trend and one table, and a model that several of
+    them hold (a blend and its members) is fitted once: rows, parameters and seed are the same."""
     columns = columns or MODEL_COLUMNS
-    if family in ("seasonal_naive_168", "seasonal_naive_48"):
-        mean = df.agg(F.avg(label).alias("m")).first()["m"]
-        return Fitted(family, keys, {}, default=mean, lag="lag_168h" if family.endswith("168") else "lag_48h")
-    if family == "ridge_fourier":
-        return Fitted(family, keys, {"ridge": ridge(df, columns, label, ridge_alpha, rank_error=rank_error)})
-    if family == "gbt":
-        return Fitted(family, keys, {"gbt": trees(df, columns, label, "gbt", gbt, rank_error)})
-    if family in ("gbt_trend", "ridge_interactions", "blend_ridge_gbt", "random_forest_trend"):
-        trend = growth_trend(df.withColumnRenamed(label, "y"), keys)
-        path = shared_folder(df.sparkSession, "trend")  # a row per series, read again by every prediction
-        trend.write.parquet(path)
-        trend = df.sparkSession.read.schema(trend.schema).parquet(path)
-        z = normalise(df, trend, keys, label).cache()
-        parts = {}
-        if family in ("gbt_trend", "blend_ridge_gbt"):
-            parts["gbt"] = trees(z, columns, label, "gbt", gbt, rank_error)
-        if family in ("ridge_interactions", "blend_ridge_gbt"):
-            parts["ridge"] = ridge(z, columns, label, INTERACTION_ALPHA, True, rank_error)
-        if family == "random_forest_trend":
-            parts["forest"] = trees(z, columns, label, "forest", gbt, rank_error)
+    out: dict[str, Fitted] = {}
+    trend = z = None
+    made: dict[str, PipelineModel] = {}
+    for family in families:
+        if family in ("seasonal_naive_168", "seasonal_naive_48"):
+            mean = df.agg(F.avg(label).alias("m")).first()["m"]
+            out[family] = Fitted(family, keys, {}, default=mean, lag="lag_168h" if family.endswith("168") else "lag_48h")
+        elif family == "ridge_fourier":
+            out[family] = Fitted(family, keys, {"ridge": ridge(df, columns, label, ridge_alpha, rank_error=rank_error)})
+        elif family == "gbt":
+            out[family] = Fitted(family, keys, {"gbt": trees(df, columns, label, "gbt", gbt, rank_error)})
+        elif family in TRENDED:
+            if trend is None:
+                trend = growth_trend(df.withColumnRenamed(label, "y"), keys)
+                path = shared_folder(df.sparkSession, "trend")  # a row per series, read again by every prediction
+                trend.write.parquet(path)
+                trend = df.sparkSession.read.schema(trend.schema).parquet(path)
+                z = normalise(df, trend, keys, label).cache()
+            for part in TRENDED[family]:
+                if part not in made:
+                    made[part] = (ridge(z, columns, label, INTERACTION_ALPHA, True, rank_error) if part == "ridge" else
+                                  trees(z, columns, label, part, gbt, rank_error))
+            out[family] = Fitted(family, keys, {part: made[part] for part in TRENDED[family]}, trend)
+        else:
+            raise ValueError(f"unknown model family {family!r}")
+    if z is not None:
         z.unpersist()
-        return Fitted(family, keys, parts, trend)
-    raise ValueError(f"unknown model family {family!r}")
+    return out
 
 
 def permuted(df: DataFrame, row_id: list[str], columns: list[str], seeds: list[int], bucket_rows: int = 20_000) -> DataFrame:

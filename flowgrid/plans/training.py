@@ -14,8 +14,8 @@ from flowgrid.sources import tables as T
 
 def candidates(train: DataFrame, keys: list[str], families, label: str = "y", ridge_alpha: float = 1.0,
                gbt: dict | None = None) -> dict[str, models.Fitted]:
-    """Fit each family on the cached training part. One Spark ML job per family."""
-    return {f: models.fit(f, train, keys, label, ridge_alpha, gbt) for f in families}
+    """Fit each family on the cached training part; what a blend and its members share is fitted once."""
+    return models.fit_all(families, train, keys, label, ridge_alpha, gbt)
 
 
 def board(spark: SparkSession, fitted: dict[str, models.Fitted], holdout: DataFrame) -> list[dict]:

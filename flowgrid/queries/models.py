@@ -130,8 +130,8 @@ def model_blend(spark, sf):
 def model_factory(spark, sf):
     data = frame(spark, sf)
     parts = None
-    for family in M.FAMILIES:
-        m = M.fit(family, data, ["series"], gbt=Training().gbt).predict(data).select(F.lit(family).alias("model"), "y", "pred")
+    for family, fitted in M.fit_all(M.FAMILIES, data, ["series"], gbt=Training().gbt).items():
+        m = fitted.predict(data).select(F.lit(family).alias("model"), "y", "pred")
         parts = m if parts is None else parts.unionByName(m)
     return out(E.metrics(parts, ["model"]))
 
