@@ -34,9 +34,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgrid.llm.common import stored, text_key, text_of
+from flowgrid.llm.common import stored, text_key, text_of, trimmed
 
-STEP, RANK, OVER, ITEMS, SLAB, RARE, SLICE, PAIRS, CORE = 32, 160, 32, 5000, 64, 0.01, 1000, 1 << 22, 0.75
+STEP, RANK, OVER, ITEMS, SLAB, RARE, SLICE, PAIRS, HELD, CORE = 32, 160, 32, 5000, 64, 0.01, 250, 1 << 22, 1 << 19, 0.75
 MATCH = "doc_id bigint, key struct<a:bigint,b:bigint>, item_id bigint, cosine double, lcs double, answer double, kind string"
 
 
@@ -180,7 +180,7 @@ def _sketch(idf: np.ndarray, seed: int, width: int):
     terms = len(idf)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
+        parts, held, least = [], 0, 0
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 term, pos, doc = _read(batch.slice(at, SLICE))
@@ -188,9 +188,9 @@ def _sketch(idf: np.ndarray, seed: int, width: int):
                 if len(starts):
                     parts.append(_pairs(term, starts, np.flatnonzero(idf[term] > 0), terms))
                     held += len(parts[-1][0])
-                if held > PAIRS and len(parts) > 1:
+                if held > HELD + 2 * least:  # as much again as is known, so that counting anew stays rare
                     parts = [_counted(*(np.concatenate(c) for c in zip(*parts, strict=True)))]
-                    held = len(parts[0][0])
+                    held = least = len(parts[0][0])
         if not parts:
             return
         keys, counts = _counted(*(np.concatenate(c) for c in zip(*parts, strict=True)))
@@ -362,20 +362,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, copied:
     blocks = -(-items.count() // ITEMS)
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * blocks - 1 if blocks > 1 else 1))  # twice as many leave room
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(text_of()).alias("key"), text_of().alias("text"))
-    out = spark.createDataFrame([], MATCH)
+    out = spark.range(0).select(F.from_json(F.lit("{}"), MATCH).alias("m")).select("m.*")  # no Python workers of its own
     for block in range(2 * blocks - 1 if blocks > 1 else blocks):
         some = Items.of(sorted((tuple(r) for r in items.where(part == block).collect()), key=repr))
         if not some.ids:
             continue
         terms = len(some.vocabulary)
-        coded = stored(rows.mapInArrow(_encode(some.vocabulary), "doc_id bigint, key struct<a:bigint,b:bigint>, "
+        coded = stored(rows.mapInArrow(trimmed(_encode(some.vocabulary)), "doc_id bigint, key struct<a:bigint,b:bigint>, "
                                        "term array<int>, gap array<int>"), "encoded")
         df = np.zeros(terms + 1)
         for t, n in coded.mapInArrow(_frequencies(terms), "term bigint, df bigint").groupBy("term").agg(F.sum("df")).collect():
             df[t] = n
         idf = np.maximum(0, np.log((RARE * df[terms] + 20) / np.maximum(df[:terms], 1))).astype(np.float32)
         width = min(RANK + OVER, terms)
-        slabs = (coded.mapInArrow(_sketch(idf, seed, width), "slab int, part binary").repartition("slab")
+        slabs = (coded.mapInArrow(trimmed(_sketch(idf, seed, width)), "slab int, part binary").repartition("slab")
                  .mapInArrow(_add_up, "slab int, part binary").collect())  # terms of a block x width
         sketch = np.zeros((terms, width))
         for slab, part_sum in slabs:
@@ -386,7 +386,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, copied:
         length = np.sqrt((queries * queries).sum(1, keepdims=True))
         queries = np.divide(queries, length, out=np.zeros_like(queries), where=length > 0)
         shipped = spark.sparkContext.broadcast((some, vectors, queries, Core(some, df[:terms], paraphrased)))
-        out = out.union(coded.mapInArrow(_search(shipped, cosine, copied, paraphrased, answered), MATCH))
+        out = out.union(coded.mapInArrow(trimmed(_search(shipped, cosine, copied, paraphrased, answered)), MATCH))
     return out
 
 

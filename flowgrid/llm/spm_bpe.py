@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgrid.llm.common import with_columns
+from flowgrid.llm.common import trimmed, with_columns
 
-MEMO, MEMO_CHARS = 400_000, 64
+MEMO, MEMO_CHARS = 100_000, 64
 
 
 def byte_chars() -> list[str]:
@@ -86,7 +85,6 @@ class _Memo(dict):
         return packed
 
 
-@lru_cache(maxsize=2)
 def _encoder(model: bytes, pattern: str):
     import regex
 
@@ -94,7 +92,6 @@ def _encoder(model: bytes, pattern: str):
     return lambda text: b"".join(map(memo.__getitem__, find(text)))
 
 
-@lru_cache(maxsize=2)
 def _byte_table(model: bytes) -> list[bytes]:
     """The bytes of every id, by the inverse of the byte map."""
     from sentencepiece import SentencePieceProcessor
@@ -119,7 +116,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
             packed = [one(t.as_py() or "") for t in batch.column(at)]
             yield with_columns(batch, **{ids: pa.array(packed, pa.binary())})
 
-    return docs.mapInArrow(run, _extended(docs, ids))
+    return docs.mapInArrow(trimmed(run), _extended(docs, ids))
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -133,7 +130,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "de
             back = [b"".join(map(table.__getitem__, np.frombuffer(i.as_py() or b"", "<u4").tolist())) for i in batch.column(at)]
             yield with_columns(batch, **{out: pa.array(back, pa.binary())})
 
-    return encoded.mapInArrow(run, _extended(encoded, out))
+    return encoded.mapInArrow(trimmed(run), _extended(encoded, out))
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -149,7 +146,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), pa.array(back, pa.binary())],
                                              names=["doc_id", "ids", "decoded"])
 
-    return docs.mapInArrow(run, T.StructType([docs.schema["doc_id"], T.StructField("ids", T.BinaryType()),
+    return docs.mapInArrow(trimmed(run), T.StructType([docs.schema["doc_id"], T.StructField("ids", T.BinaryType()),
                                               T.StructField("decoded", T.BinaryType())]))
 
 

@@ -28,3 +28,11 @@ def test_items_far_longer_than_a_window(spark):
     half = [(9000 + n, " ".join(items[j][1].split()[:n // 2])) for j, (n, _) in enumerate(items[:4])]
     want = {(start + n, n) for start in (1000, 5000) for n in (500, 1000, 1500, 2000)}
     assert found(spark, rows + half, items) == want
+
+
+def test_no_python_workers_for_an_empty_start(spark):
+    docs = spark.createDataFrame([(1, brute.prose(1, 50))], "doc_id long, text string")
+    out = decontaminate.matches(docs, spark.createDataFrame([(1, brute.prose(2, 40))], "item_id long, text string"))
+    assert "ExistingRDD" not in out._jdf.queryExecution().executedPlan().toString()
+    none = decontaminate.matches(docs, spark.createDataFrame([], "item_id long, text string"))
+    assert none.count() == 0 and none.dtypes == out.dtypes
