@@ -132,3 +132,28 @@ def test_bounded_ring_balance_slots_and_movement(spark):
     assert sum(a[i] != b[i] for i in a) / 4000 < 0.3  # a plain modulus would move 16 of 17
     assert {p.size for p in hash_ring.place(frame(spark, [(1, None), (2, "é")])).collect()} == {1, 3}
     assert hash_ring.place(frame(spark, [])).count() == 0
+
+
+def test_one_span_of_an_anchor_and_no_tables_left(spark, monkeypatch):
+    """What an anchor's strings cover is one span, and only the result stays in the shared folder."""
+    import os
+
+    import pyarrow as pa
+
+    passage = brute.prose(1, 110).encode()[:430]
+    texts = [brute.prose(2, 60).encode()[:100] + passage + brute.prose(3, 60).encode()[:100],
+             brute.prose(4, 60).encode()[:100] + passage + brute.prose(5, 60).encode()[:100]]
+    cut = [t[300 - suffix_buckets.W + 1:300 + suffix_buckets.LENGTH] for t in texts]
+    key = pa.array([{"a": 1, "b": 1}, {"a": 2, "b": 2}], pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+    nodes = suffix_buckets._rows(key, meet=[7, 7], pos=[300, 300], lo=[0, 0], size=[suffix_buckets.W] * 2,
+                                 at=[suffix_buckets.W - 1] * 2, bytes=cut)
+    spans = [s for b in suffix_buckets._finish_buckets([nodes]) for s in b.to_pylist()]
+    assert [(s["key"]["a"], s["start"], s["end"]) for s in spans] == [(1, 100, 530), (2, 100, 530)]
+
+    made, plain = [], suffix_buckets.stored
+    monkeypatch.setattr(suffix_buckets, "LOCAL", 2)
+    monkeypatch.setattr(suffix_buckets, "stored", lambda df, name: made.append(plain(df, name)) or made[-1])
+    rows = [(i, brute.prose(20 + i, 30) + brute.prose(1, 110) + brute.prose(60 + i, 40)) for i in range(6)]
+    assert suffix_buckets.digests(frame(spark, rows)).where("n_removed > 0").count() == 6
+    left = [t._stored_at for t in made if os.path.isdir(t._stored_at.removeprefix("file:"))]
+    assert len(made) > 12 and left == [made[-1]._stored_at]
