@@ -3,10 +3,10 @@
 A text is the set of its byte 3-grams (hashed to 2^16) plus n-grams of the token <same>, which stands for a word equal to
 the one before it. Each indicator is scaled by the log ratio of its smoothed counts in the two classes, and a linear
 hinge-loss model is fitted by dual coordinate descent. Blocks of the training rows descend side by side from the same
-weights and their steps are averaged, round by round; only weights and dual variables travel. A logistic curve over the
-margins of rows kept out of the fit turns margins into scores.
+weights and their steps are averaged, round by round; only weights travel, as a block makes its dual variables again from
+the weights of the rounds before. A logistic curve over the margins of rows kept out of the fit turns margins into scores.
 
-The fit reads at most ``fit_rows`` labelled rows (those of smallest id hash), a fixed bound; every text is scored whole.
+The fit reads every labelled row, in blocks of some BLOCK_ROWS (BLOCKS of them at least); every text is scored whole.
 
 Nulls and edges: a null text is empty and an empty text is scored by the bias alone; rows without a usable label are not
 learned from; repeated ids are learned once; with no labelled rows, or with one class only, every score is the smoothed
@@ -24,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgrid.llm.common import stored, text_of
+from flowgrid.llm.common import discard, stored, text_of
 
 BITS, SAME = 16, 8
 DIMS = (1 << BITS) + SAME
+BLOCKS, BLOCK_ROWS, SLABS, SLOTS = 8, 4096, 16, 1 << 24
 
 
 def features(text: bytes) -> np.ndarray:
@@ -76,56 +77,89 @@ def descend(rows: list[tuple[np.ndarray, int]], alpha: np.ndarray, weights: np.n
     return alpha, weights, bias
 
 
-def logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset by Newton steps; targets are smoothed, so separable margins stay finite."""
-    pos = float(label.sum())
-    target = np.where(label == 1, (pos + 1) / (pos + 2), 1 / (len(label) - pos + 2))
-    scale = float(np.abs(margin).mean()) or 1.0
-    x, a, b = margin / scale, 1.0, 0.0
+def logistic(held: DataFrame) -> tuple[float, float]:
+    """Slope and offset by Newton steps over the stored ``held`` (margin, label); targets are smoothed, so separable margins
+    stay finite. Every step adds up a row of sums for each task, in the order of the tasks."""
+    def summed(sums) -> np.ndarray:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0
+            for batch in batches:
+                total = total + np.array(sums(*(c.to_numpy() for c in batch.columns)))
+            if not np.isscalar(total):
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+        return sum(np.frombuffer(bytes(r[0])) for r in held.mapInArrow(run, "sums binary").collect())  # one row per task
+
+    n, pos, scale = summed(lambda m, y: [float(len(m)), float(y.sum()), np.abs(m).sum()])
+    scale = float(scale / n) or 1.0
+    high, low = (pos + 1) / (pos + 2), 1 / (n - pos + 2)
+    a, b = 1.0, 0.0
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        h = p * (1 - p) + 1e-6
-        g = p - target
-        hess = np.array([[(h * x * x).sum() + 1e-3, (h * x).sum()], [(h * x).sum(), h.sum()]])
-        step = np.linalg.solve(hess, np.array([(g * x).sum() + 1e-3 * a, g.sum()]))
-        a, b = a - step[0], b - step[1]
+        def sums(margin: np.ndarray, label: np.ndarray, a: float = a, b: float = b) -> list[float]:
+            x = margin / scale
+            p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
+            h = p * (1 - p) + 1e-6
+            g = p - np.where(label == 1, high, low)
+            return [(h * x * x).sum(), (h * x).sum(), h.sum(), (g * x).sum(), g.sum()]
+
+        hxx, hx, h, gx, g = summed(sums)
+        step = np.linalg.solve(np.array([[hxx + 1e-3, hx], [hx, h]]), np.array([gx + 1e-3 * a, g]))
+        a, b = float(a - step[0]), float(b - step[1])
         if np.abs(step).max() < 1e-6:
             break
     return max(a, 1e-6) / scale, b
 
 
-def _blocks(batches: Iterable[pa.RecordBatch], fold: int, at: dict[int, int]) -> tuple[list[tuple[np.ndarray, int]], np.ndarray]:
-    """Rows of a block in the order of their ids, so that every run descends alike, and their places."""
+def _block(batches: Iterable[pa.RecordBatch]) -> tuple[int | None, list[tuple[np.ndarray, int]]]:
+    """The least id of a task's rows to fit, and these in the order of their ids, so that every run descends alike."""
     rows = {}
     for batch in batches:
-        for doc, label, f, on in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if f == fold:
-                rows[at[doc]] = np.frombuffer(on, np.int32), 2 * label - 1
-    place = sorted(rows)
-    return [rows[i] for i in place], np.array(place, np.int64)
+        for doc, label, fold, on in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if fold == 0:
+                rows[doc] = np.frombuffer(on, np.int32), 2 * label - 1
+    return min(rows, default=None), [rows[doc] for doc in sorted(rows)]
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 12000, blocks: int = 8, rounds: int = 6, epochs: int = 2,
-        cost: float = 0.05, smooth: float = 1.0) -> Model:
+def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of the parts of each slab of the weights, and how many there are."""
+    sums: dict[int, list] = {}
+    for batch in batches:
+        for slab, part in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            held = sums.setdefault(slab, [0, 0.0])
+            held[0], held[1] = held[0] + 1, held[1] + np.frombuffer(part)
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([n for n, _ in sums.values()], pa.int32()),
+                                      pa.array([v.tobytes() for _, v in sums.values()], pa.binary())], names=["slab", "blocks", "part"])
+
+
+def _slot() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+
+
+def marked(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The ``docs`` whose id is among the ``chosen``, and few others, by a bitmap of SLOTS bits: 2 MB however many ids."""
+    bits = chosen.select(_slot().alias("s")).groupBy(F.bitmap_bucket_number("s").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("__bits"))
+    at = F.bitmap_bit_position(_slot())
+    byte = F.conv(F.hex(F.substring("__bits", (at / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    found = docs.join(F.broadcast(bits), F.bitmap_bucket_number(_slot()) == F.col("__bucket"))
+    return found.where(F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1).select(*docs.columns)
+
+
+def fit(docs: DataFrame, labels: DataFrame, rounds: int = 6, epochs: int = 2, cost: float = 0.05, smooth: float = 1.0) -> Model:
     """``labels`` (doc_id, label 0 or 1, calibrate): rows to learn from; those to calibrate with set only the curve."""
     spark = docs.sparkSession
-    chosen = (labels.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id")
-              .agg(F.min("label").cast("int").alias("label"), F.min(F.col("calibrate").cast("int")).alias("fold"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
+    chosen = stored(labels.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
+                    .agg(F.min("label").cast("int").alias("label"), F.min(F.col("calibrate").cast("int")).alias("fold")), "quality-labels")
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            on = [features(t.as_py()).tobytes() for t in batch.column(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(on, pa.binary())],
-                                             names=["doc_id", "label", "fold", "on"])
-
-    texts = docs.select("doc_id", text_of().cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")  # at most fit_rows
-    rows = stored(texts.select("doc_id", "label", "fold", "text")
-                  .mapInArrow(read, "doc_id bigint, label int, fold int, on binary")
-                  .groupBy("doc_id").agg(F.min(F.struct("label", "fold", "on")).alias("r")).select("doc_id", "r.*")
-                  .repartition(blocks, "doc_id").sortWithinPartitions("doc_id"), "quality-rows")
-    ids = [r[0] for r in rows.where("fold = 0").select("doc_id").collect()]  # at most fit_rows
-    at = {d: i for i, d in enumerate(sorted(ids))}
+            on = [features(t.as_py()).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(on, pa.binary())], names=["doc_id", "on"])
+
+    texts = marked(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().cast("binary").alias("text")), chosen)
+    rows = stored(texts.mapInArrow(read, "doc_id bigint, on binary").groupBy("doc_id").agg(F.min("on").alias("on"))
+                  .join(chosen, "doc_id").select("doc_id", "label", "fold", "on")
+                  .repartition(max(BLOCKS, -(-chosen.count() // BLOCK_ROWS)), "doc_id").sortWithinPartitions("doc_id"), "quality-rows")
+    discard(chosen)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, DIMS), np.int64)
@@ -149,32 +183,37 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 12000, blocks: int =
             seen[:, feature] = bad, good
     if n.min() == 0:
         share = (n[1] + 1) / (n.sum() + 2)
+        discard(rows)
         return Model(np.zeros(DIMS), 0.0, 1.0, float(np.log(share / (1 - share))))
     p = (seen + smooth) / (n[:, None] + 2 * smooth)
     ratio = np.log(p[1] / p[0])
     ratio2 = ratio * ratio
-    weights, bias, alpha = np.zeros(DIMS), 0.0, np.zeros(len(at))
+    began, blocks = [(np.zeros(DIMS), 0.0)], 1  # the weights each round began with
 
     for _ in range(rounds):
-        state = spark.sparkContext.broadcast((weights, bias, alpha, ratio2, at))
+        state = spark.sparkContext.broadcast((began, blocks, ratio2))
 
         def step(batches: Iterable[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
-            weights, bias, alpha, ratio2, at = state.value
-            rows, place = _blocks(batches, 0, at)
+            began, blocks, ratio2 = state.value
+            first, rows = _block(batches)
             if rows:
-                new, w, b = descend(rows, alpha[place], weights, bias, ratio2, cost, epochs)
-                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in (
-                    place, new - alpha[place], w - weights, np.array([b - bias]))], names=["at", "alpha", "weights", "bias"])
-
-        steps = sorted((bytes(r[0]), bytes(r[1]), bytes(r[2]), bytes(r[3])) for r in rows.mapInArrow(
-            step, "at binary, alpha binary, weights binary, bias binary").collect())  # one row per block
-        for place, da, dw, db in steps:
-            alpha[np.frombuffer(place, np.int64)] += np.frombuffer(da) / len(steps)
-            weights += np.frombuffer(dw) / len(steps)
-            bias += float(np.frombuffer(db)[0]) / len(steps)
+                alpha = np.zeros(len(rows))
+                for weights, bias in began:  # the rounds before only for alpha
+                    new, w, b = descend(rows, alpha, weights, bias, ratio2, cost, epochs)
+                    alpha += (new - alpha) / blocks
+                parts = np.array_split(np.append(w - weights, b - bias), SLABS)
+                yield pa.RecordBatch.from_arrays([pa.array(range(SLABS), pa.int32()), pa.array([first] * SLABS, pa.int64()),
+                                                  pa.array([v.tobytes() for v in parts], pa.binary())], names=["slab", "first", "part"])
+
+        steps = (rows.mapInArrow(step, "slab int, first bigint, part binary").repartition("slab")
+                 .sortWithinPartitions("slab", "first").mapInArrow(_added, "slab int, blocks int, part binary").collect())
+        blocks = steps[0]["blocks"]
+        move = np.concatenate([np.frombuffer(bytes(r["part"])) for r in sorted(steps)]) / blocks  # SLABS rows
+        weights, bias = began[-1]
+        began = [*began, (weights + move[:-1], bias + float(move[-1]))]
         state.unpersist()
 
-    model = Model(weights, bias, 1.0, 0.0)
+    model = Model(*began[-1], 1.0, 0.0)
 
     def margins(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,9 +222,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 12000, blocks: int =
             yield pa.RecordBatch.from_arrays([pa.array([m for m, _ in got], pa.float64()),
                                               pa.array([y for _, y in got], pa.int32())], names=["margin", "label"])
 
-    held = sorted(tuple(r) for r in rows.mapInArrow(margins, "margin double, label int").collect())  # at most fit_rows
-    if len({y for _, y in held}) == 2:
-        model.a, model.b = logistic(np.array([m for m, _ in held]), np.array([y for _, y in held]))
+    held = stored(rows.mapInArrow(margins, "margin double, label int"), "quality-margins")
+    if held.select("label").distinct().count() == 2:
+        model.a, model.b = logistic(held)
+    discard(rows, held)
     return model
 
 

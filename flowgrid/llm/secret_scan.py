@@ -5,11 +5,11 @@ token characters, outside those, that reads more like a random string than like
 models over ASCII characters, one of random strings, one of ordinary identifiers, are compared by their mean
 log-likelihood ratio per step.
 
-The models learn from labelled samples: values that the fixed patterns mark are random strings, other tokens of eight or
-more characters are ordinary. They are read from a sample of about ``fit_rows`` documents (a fixed bound, chosen by id
-hash); bigram counts, 2 x 128 x 128 numbers at most, are all that reaches the driver. Every text is scanned whole.
+The models learn from all texts: values that the fixed patterns mark are random strings, other tokens of eight or more
+characters are ordinary. Bigram counts, 2 x 128 x 128 numbers at most, are all that reaches the driver. Every text is
+scanned whole.
 
-Nulls and edges: a null text is empty and has no spans; without labelled secrets in the sample no ``random`` span is
+Nulls and edges: a null text is empty and has no spans; without a labelled secret in any text no ``random`` span is
 added; repeated rows get equal results; an empty table gives an empty result.
 """
 
@@ -56,22 +56,20 @@ def steps(token: Column) -> Column:
                       lambda a, b: F.ascii(a) * ASCII + F.ascii(b))
 
 
-def learn(docs: DataFrame, fit_rows: int = 20000, smooth: float = 0.5, weight: float = 256.0) -> list[float] | None:
+def learn(docs: DataFrame, smooth: float = 0.5, weight: float = 256.0) -> list[float] | None:
     """Log-likelihood ratio of every character pair, random over ordinary; None without examples of both.
 
     Pair frequencies are interpolated with the frequencies of the second characters of the same class, which count as
     ``weight`` further pairs: a first character never or hardly seen in a class is no evidence by itself, and a random string
     that no pattern marks does not pass for an ordinary one because it is among the ordinary tokens.
     """
-    every = max(1, docs.count() // fit_rows)
-    text = text_of()
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(text.alias("text")).withColumn("base", base(F.col("text")))
+    marked = docs.select(text_of().alias("text")).withColumn("base", base(F.col("text")))
     secret = F.transform("base", lambda x: F.when(x["k"] == 0, value(x["v"])).otherwise(x["v"]))
     other = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), LONG_ACCESS, " "), LONG_HEX, " ")
     tokens = F.concat(F.transform(secret, lambda v: F.struct(F.lit(1).alias("y"), v.alias("v"))),
                       F.transform(F.regexp_extract_all(other, F.lit(ORDINARY), 0),
                                   lambda v: F.struct(F.lit(0).alias("y"), v.alias("v"))))
-    counts = (sample.select(F.explode(tokens).alias("t")).groupBy("t.y", "t.v").agg(F.count(F.lit(1)).alias("n"))
+    counts = (marked.select(F.explode(tokens).alias("t")).groupBy("t.y", "t.v").agg(F.count(F.lit(1)).alias("n"))
               .select("y", "n", F.explode(steps(F.col("v"))).alias("step")).groupBy("y", "step").agg(F.sum("n")).collect())
     seen = [[0] * (ASCII * ASCII) for _ in range(2)]
     used = set()
@@ -109,17 +107,17 @@ def scan(docs: DataFrame, ratios: list[float] | None, least: float = 0.5) -> Dat
         "__more", lambda x: ~spans.overlaps(F.col("secrets_base"), x["s"], x["e"])))).drop("__more"))
 
 
-def digests(docs: DataFrame, fit_rows: int = 20000) -> DataFrame:
-    found = scan(docs.select("doc_id", "text"), learn(docs, fit_rows))
+def digests(docs: DataFrame) -> DataFrame:
+    found = scan(docs.select("doc_id", "text"), learn(docs))
     b = F.col("secrets_base")
     return found.select("doc_id", spans.count(b, 0).alias("n_assign"), spans.count(b, 1).alias("n_access"),
                         spans.count(b, 2).alias("n_hex"), F.sha2(spans.listing(b, KINDS), 256).alias("base_sha256"),
                         spans.listing(F.col("secrets"), KINDS).alias("spans"))
 
 
-def redacted(docs: DataFrame, fit_rows: int = 20000) -> DataFrame:
+def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by its kind; ``n_chars``, where there is one, follows."""
-    found = scan(docs, learn(docs, fit_rows))
+    found = scan(docs, learn(docs))
     out = found.withColumn("text", F.when(F.size("secrets") > 0, spans.redact(F.col("text"), F.col("secrets"), KINDS))
                            .otherwise(F.col("text")))
     if "n_chars" in docs.columns:

@@ -100,6 +100,30 @@ def test_classifier_edges(spark):
     assert nb_svm.features(b"x x x y").tolist()[-2:] == [1 << 16, (1 << 16) + 1]
 
 
+def test_classifier_learns_from_every_labelled_row(spark):
+    """What only rows far down the order of id hashes show is learned; the fit once stopped at 12,000 rows."""
+    from pyspark.sql import functions as F
+
+    late = [r.doc_id for r in spark.range(24000).withColumnRenamed("id", "doc_id").where(nb_svm.remainder(F.col("doc_id")) != 2)
+            .orderBy(F.xxhash64("doc_id"), "doc_id").collect()][12000:]
+    ids = spark.range(24000).select(F.col("id").alias("doc_id"), F.col("id").isin(late).alias("late"))
+    table = ids.select("doc_id", F.when(F.col("late"), "zqzq").when(F.col("doc_id") % 3 == 0, "bad one").otherwise("good one").alias("text"))
+    labels = ids.select("doc_id", (~F.col("late") & (F.col("doc_id") % 3 != 0)).cast("int").alias("quality"))
+    model = nb_svm.learn(table, labels)
+    assert len(late) > 5000
+    assert model.score(b"zqzq") < 0.2 and model.score(b"bad one") < 0.2 and model.score(b"good one") > 0.8
+    assert nb_svm.learn(table, labels).score(b"zqzq") == model.score(b"zqzq")
+
+
+def test_labelled_rows_are_found_by_the_bitmap(spark):
+    from pyspark.sql import functions as F
+
+    table = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id") - 1500).alias("doc_id"))
+    chosen = table.where("doc_id % 7 = 0").distinct()
+    got = {r.doc_id for r in nb_svm.marked(table, chosen).collect()}
+    assert {r.doc_id for r in chosen.collect()} <= got and len(got) < 450  # 428 are
+
+
 def test_descent_finds_the_hinge_optimum():
     r = np.random.default_rng(0)
     rows = [(np.flatnonzero(r.random(12) < 0.4).astype(np.int32), int(y)) for y in r.choice([-1, 1], 40)]

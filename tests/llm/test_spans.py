@@ -65,6 +65,22 @@ def test_random_strings_are_found_and_identifiers_left_alone(spark):
     assert list(out[0].asDict()) == ["doc_id", "text", "key", "base", "found", "n_chars"]
 
 
+def test_secrets_are_learned_from_all_texts(spark):
+    """Labelled secrets that a sample of one document in three by id hash does not hold."""
+    r = random.Random(5)
+    strange = lambda n: "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    held = [x.id for x in spark.range(60000).where(F.pmod(F.xxhash64("id"), F.lit(3)) != 0).limit(120).collect()]
+    docs = spark.range(60000).select(F.col("id").alias("doc_id"), F.lit("ordinary identifier_names here").alias("text"))
+    secrets = spark.createDataFrame([(i, f"token={strange(32)}") for i in held], "doc_id long, text string")
+    token = strange(40)
+    asked = spark.createDataFrame([(60000, f"see {token} here")], docs.schema)
+    table = docs.join(secrets, "doc_id", "left_anti").union(secrets).union(asked)
+    ratios = secret_scan.learn(table)
+    assert ratios is not None
+    found = secret_scan.scan(asked, ratios).select("secrets").first()[0]
+    assert [(x.s, x.k, x.e) for x in found] == [(4, 3, 4 + len(token))]
+
+
 def test_terms_that_give_an_entity_away_are_added(spark):
     texts = [f"{brute.prose(i, 40)} write to Quillhaven Ambrosius at boss@corp.example soon {brute.prose(900 + i, 40)}" for i in range(5)]
     texts += [brute.prose(100 + i, 80) for i in range(200)] + [f"mail x{i}@y.zz about nothing" for i in range(30)]
